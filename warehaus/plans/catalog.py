@@ -8,14 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from warehaus.plans import summaries
+    from warehaus.plans import summaries, upserts
     q: dict = {}
     q.update(summaries.queries())
+    q.update(upserts.queries())
     return q
 
 
 def oracle_sql() -> dict[str, str]:
-    from warehaus.oracle import summary_sql
+    from warehaus.oracle import summary_sql, upsert_sql
     o: dict = {}
     o.update(summary_sql.queries())
+    o.update(upsert_sql.queries())
     return o
