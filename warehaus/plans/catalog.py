@@ -8,18 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from warehaus.plans import histories, summaries, upserts
+    from warehaus.plans import histories, ingest, summaries, upserts
     q: dict = {}
     q.update(summaries.queries())
     q.update(upserts.queries())
     q.update(histories.queries())
+    q.update(ingest.queries())
     return q
 
 
 def oracle_sql() -> dict[str, str]:
-    from warehaus.oracle import history_sql, summary_sql, upsert_sql
+    from warehaus.oracle import history_sql, ingest_sql, summary_sql, upsert_sql
     o: dict = {}
     o.update(summary_sql.queries())
     o.update(upsert_sql.queries())
     o.update(history_sql.queries())
+    o.update(ingest_sql.queries())
     return o
