@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from warehaus.plans import histories, ingest, summaries, upserts
+    from warehaus.plans import batches, histories, ingest, summaries, upserts
     q: dict = {}
     q.update(summaries.queries())
     q.update(upserts.queries())
     q.update(histories.queries())
     q.update(ingest.queries())
+    q.update(batches.queries())
     return q
 
 
