@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from warehaus.operators import monthly as M
 from warehaus.operators import summary as S
-from warehaus.sources.fixtures import BATCH, PRIOR_BATCH, PRIOR_MONTHLY_CUTOFF, Fixtures
+from warehaus.sources.fixtures import BATCH, Fixtures
 
 
 def _inputs(fx: Fixtures):
@@ -23,27 +22,6 @@ def daily_product(fx: Fixtures, batch=BATCH) -> DataFrame:
     return S.daily_product_summary(o, od, p, batch)
 
 
-def daily_customer_history(fx: Fixtures) -> DataFrame:
-    """Daily table holding a prior batch (before the cutoff) and this batch."""
-    prior = daily_customer(fx, PRIOR_BATCH).filter(F.col("summary_date") < F.lit(PRIOR_MONTHLY_CUTOFF))
-    return prior.unionByName(daily_customer(fx, BATCH))
-
-
-def daily_product_history(fx: Fixtures) -> DataFrame:
-    prior = daily_product(fx, PRIOR_BATCH).filter(F.col("summary_date") < F.lit(PRIOR_MONTHLY_CUTOFF))
-    return prior.unionByName(daily_product(fx, BATCH))
-
-
-def monthly_customer_prior(fx: Fixtures) -> DataFrame:
-    prior = daily_customer(fx, PRIOR_BATCH).filter(F.col("summary_date") < F.lit(PRIOR_MONTHLY_CUTOFF))
-    return M.stamp_new(M.monthly_customer_delta(prior, PRIOR_BATCH), PRIOR_BATCH)
-
-
-def monthly_product_prior(fx: Fixtures) -> DataFrame:
-    prior = daily_product(fx, PRIOR_BATCH).filter(F.col("summary_date") < F.lit(PRIOR_MONTHLY_CUTOFF))
-    return M.stamp_new(M.monthly_product_delta(prior, PRIOR_BATCH), PRIOR_BATCH)
-
-
 def _q(fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(Fixtures(spark, sf_dir))
@@ -52,7 +30,6 @@ def _q(fn):
 
 
 def queries() -> dict:
-    o = lambda fx: _inputs(fx)
     return {
         "daily_customer_summary": _q(daily_customer),
         "daily_customer_orders": _q(lambda fx: S.customer_orders_block(
@@ -69,13 +46,13 @@ def queries() -> dict:
             fx.wh_orders, fx.wh_orderdetails, fx.dw_products, BATCH)),
         "daily_product_summary": _q(daily_product),
         "monthly_customer_delta": _q(lambda fx: M.monthly_customer_delta(
-            daily_customer_history(fx), BATCH)),
+            fx.daily_customer_hist, BATCH)),
         "monthly_product_delta": _q(lambda fx: M.monthly_product_delta(
-            daily_product_history(fx), BATCH)),
+            fx.daily_product_hist, BATCH)),
         "monthly_customer_merge": _q(lambda fx: M.merge_additive(
-            monthly_customer_prior(fx), M.monthly_customer_delta(daily_customer_history(fx), BATCH),
+            fx.monthly_customer_prior, M.monthly_customer_delta(fx.daily_customer_hist, BATCH),
             ["start_of_the_month_date", "dw_customer_id"], M.MONTHLY_CUSTOMER_COLUMNS, BATCH)),
         "monthly_product_merge": _q(lambda fx: M.merge_additive(
-            monthly_product_prior(fx), M.monthly_product_delta(daily_product_history(fx), BATCH),
+            fx.monthly_product_prior, M.monthly_product_delta(fx.daily_product_hist, BATCH),
             ["start_of_the_month_date", "dw_product_id"], M.MONTHLY_PRODUCT_COLUMNS, BATCH)),
     }
