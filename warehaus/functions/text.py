@@ -7,13 +7,16 @@ have no code there, and the bytes are decoded as UTF-8 dropping invalid
 sequences.  The effect is to repair UTF-8 mojibake and to drop accented
 letters that were never mis-encoded.
 
-Steps: (1) drop every character outside windows-1252; (2) map the 27
-windows-1252 characters of bytes 0x80-0x9F onto the code points of those
-bytes, so each remaining character is exactly one byte in ISO-8859-1;
-(3) encode ISO-8859-1 and reinterpret the bytes as UTF-8; (4) replace
+Steps: (1) drop the C1 controls U+0080-U+009F (windows-1252 has other
+characters at those bytes); (2) map the 27 windows-1252 characters of bytes
+0x80-0x9F onto the code points of those bytes; (3) drop everything above
+U+00FF, so each remaining character is exactly one ISO-8859-1 byte;
+(4) encode ISO-8859-1 and reinterpret the bytes as UTF-8; (5) replace
 invalid sequences and remove the replacement characters.  A replacement
 character spelled by valid bytes (EF BF BD) is genuine data and kept: the
-string is split on it before step 3 and rejoined with it.
+text is split on it before step 4 and rejoined with it.  Steps 1-3 use only
+plain ranges and a character map, which run an order of magnitude faster
+than one character class listing the 27 exceptions.
 """
 
 from __future__ import annotations
@@ -35,27 +38,24 @@ BLANK_PATTERN = "^[ \\t\\n\\x0B\\f\\r]*$"
 REPLACEMENT_MOJIBAKE = "ï¿½"
 
 _BYTE_CHARS = "".join(chr(b) for b in CP1252_HIGH_BYTES)
-_KEEP = "".join(f"\\x{{{ord(c):X}}}" for c in CP1252_HIGH_CHARS)
-_OUTSIDE_CP1252 = f"[^\\x{{0}}-\\x{{7F}}\\x{{A0}}-\\x{{FF}}{_KEEP}]"
 
 
 def _as_bytes_text(c: Column) -> Column:
-    """Steps 1-2: one character per windows-1252 byte."""
-    return F.translate(F.regexp_replace(c, _OUTSIDE_CP1252, ""), CP1252_HIGH_CHARS, _BYTE_CHARS)
+    """Steps 1-3: one character per windows-1252 byte."""
+    no_c1 = F.regexp_replace(c, "[\\x{80}-\\x{9F}]+", "")
+    mapped = F.translate(no_c1, CP1252_HIGH_CHARS, _BYTE_CHARS)
+    return F.regexp_replace(mapped, "[^\\x{0}-\\x{FF}]+", "")
 
 
 def _decode_piece(c: Column) -> Column:
-    """Steps 3-4 on text without an embedded EF BF BD sequence."""
+    """Steps 4-5 on text without an embedded EF BF BD sequence."""
     raw = F.encode(c, "ISO-8859-1").cast("string")
     return F.replace(F.make_valid_utf8(raw), F.lit(REPLACEMENT), F.lit(""))
 
 
 def clean_text(c: Column) -> Column:
-    t = _as_bytes_text(c)
-    pieces = F.split(t, REPLACEMENT_MOJIBAKE, -1)
-    rejoined = F.array_join(F.transform(pieces, _decode_piece), REPLACEMENT)
-    cleaned = F.when(F.instr(t, REPLACEMENT_MOJIBAKE) > 0, rejoined).otherwise(_decode_piece(t))
-    return F.coalesce(cleaned, F.lit(""))
+    pieces = F.split(_as_bytes_text(c), REPLACEMENT_MOJIBAKE, -1)
+    return F.coalesce(F.array_join(F.transform(pieces, _decode_piece), REPLACEMENT), F.lit(""))
 
 
 def blank_as_null(c: Column) -> Column:

@@ -14,7 +14,7 @@ from warehaus.sources.extract import extract
 from warehaus.sources.fixtures import BATCH, Fixtures
 from warehaus.sources.landing import landing_path, write_landing
 from warehaus.sources.stage_load import load_stage, parse_landing, rejects
-from warehaus.sources.tables import read_table
+from warehaus.sources.tables import read_table, spread
 
 DOCUMENTS = _schema(("doc_id", BIG), ("text", STR), ("lang", STR), ("source", STR), ("n_chars", BIG))
 CONVERSATIONS = _schema(("conv_id", BIG), ("turn", BIG), ("role", STR), ("text", STR), ("note", STR))
@@ -47,32 +47,32 @@ def stage_load_table(fx: Fixtures, table: str) -> DataFrame:
 
 
 def documents_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    docs = spread(read_table(spark, sf_dir, "documents"), "doc_id")
     return docs.select("doc_id", clean_text(F.col("text")).alias("text"))
 
 
 def landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents").select(*DOCUMENTS.names)
+    docs = spread(read_table(spark, sf_dir, "documents").select(*DOCUMENTS.names), "doc_id")
     cleaned = docs.select(*[clean_text(F.col(c)).alias(c) if c in ("text", "lang", "source") else F.col(c)
                             for c in DOCUMENTS.names])
     return round_trip(spark, cleaned, DOCUMENTS)
 
 
 def stage_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents").select(*DOCUMENTS.names)
+    docs = spread(read_table(spark, sf_dir, "documents").select(*DOCUMENTS.names), "doc_id")
     return round_trip(spark, docs, DOCUMENTS, TRUNCATE_WIDTHS).select("doc_id", "text", "source")
 
 
 def stage_invalid_chars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing written in ISO-8859-1 by mistake, loaded as UTF-8: bad bytes become '?'."""
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     out = round_trip(spark, docs, _schema(("doc_id", BIG), ("text", STR)),
                      write_opts={"encoding": "ISO-8859-1"})
     return out
 
 
 def stage_null_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    conv = read_table(spark, sf_dir, "conversations")
+    conv = spread(read_table(spark, sf_dir, "conversations"), "conv_id")
     src = conv.select("conv_id", "turn", "role", "text",
                       F.repeat(F.lit(" "), F.col("turn").cast("int")).alias("note"))
     return round_trip(spark, src, CONVERSATIONS)
@@ -80,7 +80,7 @@ def stage_null_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage_parse_temporal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order date rendered in every supported layout, loaded back as date and timestamp."""
-    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    o = spread(read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"), "o_orderkey")
     layouts = F.array(*[F.struct(F.lit(f).alias("layout"),
                                  F.date_format(F.col("o_orderdate"), f).alias("as_text"))
                         for f in (*DATE_RENDERINGS, *TIMESTAMP_RENDERINGS)])

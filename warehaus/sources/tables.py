@@ -14,3 +14,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in GIVEN_TABLES:
         raise KeyError(f"unknown table {name}")
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def spread(df: DataFrame, *key_cols: str) -> DataFrame:
+    """Hash-partition ``df`` on ``key_cols`` when it has fewer partitions than the
+    cluster runs tasks at once.
+
+    For CPU-heavy row-wise work (text cleaning, CSV encoding) on an input made
+    of few large files.  Inputs that already span enough partitions, as any
+    large table does, are returned unchanged, so no shuffle is added at scale.
+    Hashing on a key (not round robin) keeps retried tasks deterministic.
+    """
+    parallelism = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= parallelism:
+        return df
+    return df.repartition(parallelism, *key_cols)
