@@ -1,5 +1,6 @@
 """Daily customer and product summaries.
 
+The order-line blocks share one orders-to-lines join (see ``_tagged_lines``).
 Each block is an aggregate over its own slice of the facts, padded with
 constant zeros to the common layout and cast to the block types (the casts
 fix DECIMAL(18,2) per block).  The blocks are unioned and re-aggregated per
@@ -67,10 +68,43 @@ def _with_msrp(lines: DataFrame, products: DataFrame) -> DataFrame:
     return lines.join(products.select("dw_product_id", "msrp"), "dw_product_id")
 
 
+def _tagged_lines(orders, orderdetails, products, tags: dict[str, tuple[Column, str]]) -> DataFrame:
+    """Order lines joined once, one row per (line, block it belongs to).
+
+    ``tags`` maps block name -> (membership condition, date column).  All
+    blocks read this one join; a block's filter is on the generated tag, which
+    Catalyst cannot push below the generator, so the shuffles feeding the join
+    are identical for every block and executed once (reused exchanges).
+    """
+    any_block = None
+    for cond, _ in tags.values():
+        any_block = cond if any_block is None else any_block | cond
+    lines = order_lines(orders, orderdetails, any_block)
+    if products is not None:
+        lines = _with_msrp(lines, products)
+    entries = F.array(*[F.when(cond, F.struct(F.lit(name).alias("block"),
+                                              F.to_date(date_col).alias("block_date")))
+                        for name, (cond, date_col) in tags.items()])
+    return lines.select("*", F.inline(F.filter(entries, lambda e: e.isNotNull())))
+
+
+def _customer_tags(batch: Batch) -> dict[str, tuple[Column, str]]:
+    return {"orders": (_since("orderdate", batch), "orderdate"),
+            "cancelled": (_since("cancelleddate", batch) & (F.col("status") == "Cancelled"),
+                          "cancelleddate"),
+            "shipped": (_since("shippeddate", batch) & (F.col("status") == "Shipped"), "shippeddate")}
+
+
+def customer_lines(orders, orderdetails, batch: Batch) -> DataFrame:
+    return _tagged_lines(orders, orderdetails, None, _customer_tags(batch))
+
+
 # -- daily customer blocks ----------------------------------------------------
-def customer_orders_block(orders, orderdetails, products, batch: Batch) -> DataFrame:
-    lines = _with_msrp(order_lines(orders, orderdetails, _since("orderdate", batch)), products)
-    g = lines.groupBy(F.to_date("orderdate").alias("summary_date"), "dw_customer_id").agg(
+def customer_orders_block(orders, orderdetails, products, batch: Batch,
+                          lines: DataFrame | None = None) -> DataFrame:
+    lines = customer_lines(orders, orderdetails, batch) if lines is None else lines
+    mine = _with_msrp(lines.filter(F.col("block") == "orders"), products)
+    g = mine.groupBy(F.col("block_date").alias("summary_date"), "dw_customer_id").agg(
         F.count_distinct("dw_order_id").alias("order_count"),
         F.sum(_line_amount()).alias("order_cost_amount"),
         F.count_distinct("dw_product_id").alias("products_ordered_qty"),
@@ -92,23 +126,26 @@ def customer_new_block(customers, batch: Batch) -> DataFrame:
         "dw_customer_id": F.col("dw_customer_id"), "new_customer_apd": F.lit(1)})
 
 
-def _status_block(orders, orderdetails, date_col: str, status: str, prefix: str,
-                  batch: Batch) -> DataFrame:
-    lines = order_lines(orders, orderdetails, _since(date_col, batch) & (F.col("status") == status))
-    g = lines.groupBy(F.to_date(date_col).alias("summary_date"), "dw_customer_id").agg(
+def _status_block(lines: DataFrame, block: str) -> DataFrame:
+    mine = lines.filter(F.col("block") == block)
+    g = mine.groupBy(F.col("block_date").alias("summary_date"), "dw_customer_id").agg(
         F.count("dw_order_id").alias("n"), F.sum(_line_amount()).alias("amount"))
     return _pad(g, DAILY_CUSTOMER_COLUMNS, {
         "summary_date": F.col("summary_date"), "dw_customer_id": F.col("dw_customer_id"),
-        f"{prefix}_order_count": F.col("n"), f"{prefix}_order_amount": F.col("amount"),
-        f"{prefix}_order_apd": F.lit(1)})
+        f"{block}_order_count": F.col("n"), f"{block}_order_amount": F.col("amount"),
+        f"{block}_order_apd": F.lit(1)})
 
 
-def customer_cancelled_block(orders, orderdetails, batch: Batch) -> DataFrame:
-    return _status_block(orders, orderdetails, "cancelleddate", "Cancelled", "cancelled", batch)
+def customer_cancelled_block(orders, orderdetails, batch: Batch,
+                             lines: DataFrame | None = None) -> DataFrame:
+    lines = customer_lines(orders, orderdetails, batch) if lines is None else lines
+    return _status_block(lines, "cancelled")
 
 
-def customer_shipped_block(orders, orderdetails, batch: Batch) -> DataFrame:
-    return _status_block(orders, orderdetails, "shippeddate", "Shipped", "shipped", batch)
+def customer_shipped_block(orders, orderdetails, batch: Batch,
+                           lines: DataFrame | None = None) -> DataFrame:
+    lines = customer_lines(orders, orderdetails, batch) if lines is None else lines
+    return _status_block(lines, "shipped")
 
 
 def customer_payments_block(payments, batch: Batch) -> DataFrame:
@@ -137,11 +174,12 @@ def combine_customer_blocks(blocks: DataFrame, batch: Batch) -> DataFrame:
 
 def daily_customer_blocks(orders, orderdetails, products, customers, payments,
                           batch: Batch) -> DataFrame:
-    return (customer_orders_block(orders, orderdetails, products, batch)
+    lines = customer_lines(orders, orderdetails, batch)
+    return (customer_orders_block(orders, orderdetails, products, batch, lines)
             .unionByName(customer_new_block(customers, batch))
-            .unionByName(customer_cancelled_block(orders, orderdetails, batch))
+            .unionByName(customer_cancelled_block(orders, orderdetails, batch, lines))
             .unionByName(customer_payments_block(payments, batch))
-            .unionByName(customer_shipped_block(orders, orderdetails, batch)))
+            .unionByName(customer_shipped_block(orders, orderdetails, batch, lines)))
 
 
 def daily_customer_summary(orders, orderdetails, products, customers, payments,
@@ -151,19 +189,29 @@ def daily_customer_summary(orders, orderdetails, products, customers, payments,
 
 
 # -- daily product blocks -------------------------------------------------------
-def product_orders_block(orders, orderdetails, products, batch: Batch) -> DataFrame:
-    lines = _with_msrp(order_lines(orders, orderdetails, _since("orderdate", batch)), products)
-    g = lines.groupBy(F.to_date("orderdate").alias("summary_date"), "dw_product_id").agg(
+def product_lines(orders, orderdetails, products, batch: Batch) -> DataFrame:
+    cancelled = (F.lower(F.trim(F.col("status"))) == "cancelled") & _since("cancelleddate", batch)
+    return _tagged_lines(orders, orderdetails, products,
+                         {"orders": (_since("orderdate", batch), "orderdate"),
+                          "cancelled": (cancelled, "cancelleddate")})
+
+
+def product_orders_block(orders, orderdetails, products, batch: Batch,
+                         lines: DataFrame | None = None) -> DataFrame:
+    lines = product_lines(orders, orderdetails, products, batch) if lines is None else lines
+    g = lines.filter(F.col("block") == "orders").groupBy(
+        F.col("block_date").alias("summary_date"), "dw_product_id").agg(
         F.count_distinct("dw_customer_id").alias("customer_apd"),
         F.sum(_line_amount()).alias("product_cost_amount"),
         F.sum(_line_amount("msrp")).alias("product_mrp_amount"))
     return _pad(g, DAILY_PRODUCT_COLUMNS, {n: F.col(n) for n in g.columns})
 
 
-def product_cancelled_block(orders, orderdetails, products, batch: Batch) -> DataFrame:
-    cancelled = (F.lower(F.trim(F.col("status"))) == "cancelled") & _since("cancelleddate", batch)
-    lines = _with_msrp(order_lines(orders, orderdetails, cancelled), products)
-    g = lines.groupBy(F.to_date("cancelleddate").alias("summary_date"), "dw_product_id").agg(
+def product_cancelled_block(orders, orderdetails, products, batch: Batch,
+                            lines: DataFrame | None = None) -> DataFrame:
+    lines = product_lines(orders, orderdetails, products, batch) if lines is None else lines
+    g = lines.filter(F.col("block") == "cancelled").groupBy(
+        F.col("block_date").alias("summary_date"), "dw_product_id").agg(
         F.sum("quantityordered").alias("cancelled_product_qty"),
         F.sum(_line_amount()).alias("cancelled_cost_amount"),
         F.sum(_line_amount("msrp")).alias("cancelled_mrp_amount"),
@@ -172,8 +220,9 @@ def product_cancelled_block(orders, orderdetails, products, batch: Batch) -> Dat
 
 
 def daily_product_summary(orders, orderdetails, products, batch: Batch) -> DataFrame:
-    blocks = (product_orders_block(orders, orderdetails, products, batch)
-              .unionByName(product_cancelled_block(orders, orderdetails, products, batch)))
+    lines = product_lines(orders, orderdetails, products, batch)
+    blocks = (product_orders_block(orders, orderdetails, products, batch, lines)
+              .unionByName(product_cancelled_block(orders, orderdetails, products, batch, lines)))
     measures = [n for n, _ in DAILY_PRODUCT_COLUMNS[2:]]
     g = blocks.groupBy("summary_date", "dw_product_id").agg(*[F.sum(m).alias(m) for m in measures])
     return _stamp(_pad(g, DAILY_PRODUCT_COLUMNS, {n: F.col(n) for n, _ in DAILY_PRODUCT_COLUMNS}),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from warehaus.operators.lookup import backfill_office, resolve_manager
 from warehaus.operators.surrogate import assign_surrogate_keys
-from warehaus.operators.upsert import new_rows, prepare_stage, updated_target
+from warehaus.operators.upsert import new_rows, prepare_stage, prepare_stage_split, updated_target
 from warehaus.schemas import LOAD_ORDER, TABLES
 from warehaus.sources.fixtures import BATCH, Fixtures
 
@@ -21,19 +21,25 @@ def prepared(fx: Fixtures, table: str) -> DataFrame:
     return prepare_stage(fx.stage(table), TABLES[table], lookup_dims(fx))
 
 
+def split(fx: Fixtures, table: str):
+    return prepare_stage_split(fx.stage(table), TABLES[table], lookup_dims(fx))
+
+
 def insert_new(fx: Fixtures, table: str) -> DataFrame:
-    return new_rows(prepared(fx, table), fx.dw(table), TABLES[table], BATCH)
+    keyed, keyless = split(fx, table)
+    return new_rows(keyed, fx.dw(table), TABLES[table], BATCH, keyless=keyless)
 
 
 def update_newer(fx: Fixtures, table: str) -> DataFrame:
-    return updated_target(prepared(fx, table), fx.dw(table), TABLES[table], BATCH, only_changed=True)
+    keyed, _ = split(fx, table)
+    return updated_target(keyed, fx.dw(table), TABLES[table], BATCH, only_changed=True)
 
 
 def upsert_table(fx: Fixtures, table: str) -> DataFrame:
     spec = TABLES[table]
-    p = prepared(fx, table)
-    out = updated_target(p, fx.dw(table), spec, BATCH).unionByName(
-        new_rows(p, fx.dw(table), spec, BATCH))
+    keyed, keyless = split(fx, table)
+    out = updated_target(keyed, fx.dw(table), spec, BATCH).unionByName(
+        new_rows(keyed, fx.dw(table), spec, BATCH, keyless=keyless))
     if table == "employees":
         out = backfill_office(resolve_manager(out), fx.dw_offices)
     return out
