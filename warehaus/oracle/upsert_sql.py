@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from warehaus.oracle.base import sql_type
 from warehaus.oracle.fixtures_sql import CTES
+from warehaus.oracle.ingest_sql import stage_load_sql
 from warehaus.schemas import LOAD_ORDER, TABLES, TableSpec
 
 BATCH_NO, BATCH_DATE, RUN_TS = 7, "1998-06-01", "1998-06-02 00:00:00"
@@ -11,12 +12,14 @@ LOOKUP_SOURCE = {"productlines": "dw_productlines", "customers": "dw_customers",
                  "orders": "dw_orders", "products": "dw_products"}
 
 
-def prepared_sql(spec: TableSpec) -> str:
+def prepared_sql(spec: TableSpec, sources: dict[str, str] | None = None,
+                 stage: str | None = None) -> str:
+    sources = sources or LOOKUP_SOURCE
     renamed = ", ".join(f"{c} AS {spec.dw_name(c)}" for c in spec.stage.names)
-    sql = f"SELECT {renamed} FROM stg_{spec.name}"
+    sql = f"SELECT {renamed} FROM {stage or 'stg_' + spec.name}"
     for i, lk in enumerate(spec.lookups):
         sql = (f"SELECT b.*, l{i}.{lk.dim_id} AS {lk.target} FROM ({sql}) AS b "
-               f"LEFT JOIN {LOOKUP_SOURCE[lk.dimension]} AS l{i} ON b.{lk.stage_col} = l{i}.{lk.dim_col}")
+               f"LEFT JOIN {sources[lk.dimension]} AS l{i} ON b.{lk.stage_col} = l{i}.{lk.dim_col}")
     return sql
 
 
@@ -25,7 +28,8 @@ def _typed(spec: TableSpec, exprs: dict[str, str]) -> str:
                      for f in spec.dw_schema.fields)
 
 
-def insert_sql(spec: TableSpec) -> str:
+def insert_sql(spec: TableSpec, prep: str | None = None) -> str:
+    prep = prep or f"prep_{spec.name}"
     on = " AND ".join(f"d.{k} = p.{k}" for k in spec.dw_key)
     exprs = {c: f"p.{c}" for c in spec.dw_columns if c not in ("dw_create_timestamp",)}
     exprs.update(dw_create_timestamp=f"TIMESTAMP '{RUN_TS}'", dw_update_timestamp=f"TIMESTAMP '{RUN_TS}'",
@@ -36,11 +40,12 @@ def insert_sql(spec: TableSpec) -> str:
         order = ", ".join(f"p.{k}" for k in spec.dw_key)
         exprs[spec.surrogate] = (f"(SELECT coalesce(max({spec.surrogate}), 0) FROM dw_{spec.name}) "
                                  f"+ row_number() OVER (ORDER BY {order})")
-    return (f"SELECT {_typed(spec, exprs)} FROM prep_{spec.name} AS p "
+    return (f"SELECT {_typed(spec, exprs)} FROM {prep} AS p "
             f"WHERE NOT EXISTS (SELECT 1 FROM dw_{spec.name} AS d WHERE {on})")
 
 
-def update_sql(spec: TableSpec, only_changed: bool) -> str:
+def update_sql(spec: TableSpec, only_changed: bool, prep: str | None = None) -> str:
+    prep = prep or f"prep_{spec.name}"
     on = " AND ".join(f"d.{k} = p.{k}" for k in spec.dw_key)
     newer = "(p.hit_flag = 1 AND d.src_update_timestamp < p.src_update_timestamp)"
     exprs = {c: f"d.{c}" for c in spec.dw_columns}
@@ -51,7 +56,7 @@ def update_sql(spec: TableSpec, only_changed: bool) -> str:
         etl_batch_no=f"CASE WHEN {newer} THEN {BATCH_NO} ELSE d.etl_batch_no END",
         etl_batch_date=f"CASE WHEN {newer} THEN DATE '{BATCH_DATE}' ELSE d.etl_batch_date END")
     sql = (f"SELECT {_typed(spec, exprs)} FROM dw_{spec.name} AS d "
-           f"LEFT JOIN (SELECT *, 1 AS hit_flag FROM prep_{spec.name}) AS p ON {on}")
+           f"LEFT JOIN (SELECT *, 1 AS hit_flag FROM {prep}) AS p ON {on}")
     if only_changed:
         sql += f" WHERE {newer}"
     return sql
@@ -77,8 +82,26 @@ CTES.add("upserted_employees", f"{update_sql(TABLES['employees'], False)} "
                                f"UNION ALL {insert_sql(TABLES['employees'])}")
 
 
+# The warehouse after one batch run end to end: each table starts from its
+# stage-loaded snapshot (landing CSV round trip) and looks up the dimensions as
+# they stand after their own load in the same batch (the runner's order).
+AFTER_BATCH = {t: f"after_{t}" for t in LOAD_ORDER}
+for _t in LOAD_ORDER:
+    _spec = TABLES[_t]
+    CTES.add(f"staged_{_t}", stage_load_sql(_t))
+    CTES.add(f"prep_after_{_t}", prepared_sql(_spec, AFTER_BATCH, stage=f"staged_{_t}"))
+    _body = (f"{update_sql(_spec, False, f'prep_after_{_t}')} UNION ALL "
+             f"{insert_sql(_spec, f'prep_after_{_t}')}")
+    if _t == "employees":
+        CTES.add("after_employees_raw", _body)
+        _body = employees_fk_sql("after_employees_raw", offices="after_offices")
+    CTES.add(f"after_{_t}", _body)
+
+
 def queries() -> dict[str, str]:
     q = {}
+    for t in LOAD_ORDER:
+        q[f"etl_two_batches_{t}"] = f"SELECT * FROM after_{t}"
     for t in LOAD_ORDER:
         spec = TABLES[t]
         q[f"insert_new_{t}"] = insert_sql(spec)
