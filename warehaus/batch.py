@@ -44,7 +44,8 @@ class Batch:
         return F.lit(self.date).cast("date")
 
     def ts_col(self) -> Column:
-        return F.lit(self.run_ts).cast("timestamp_ntz")
+        # From text: a string -> timestamp_ntz cast does not depend on any time zone.
+        return F.lit(self.run_ts.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def latest_batch_row(control: DataFrame, no_col: str = "etl_batch_no",

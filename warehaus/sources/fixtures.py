@@ -50,7 +50,7 @@ PRIOR_MONTHLY_CUTOFF = dt.date(1998, 6, 15)
 
 
 def _ts(text: str) -> Column:
-    return F.lit(dt.datetime.fromisoformat(text)).cast("timestamp_ntz")
+    return F.lit(text).cast("timestamp_ntz")
 
 
 def _day(text: str) -> Column:
