@@ -20,3 +20,17 @@ def test_snapshot_for():
     with pytest.raises(ValueError):
         snapshot_for("2005-06-15")
     assert Batch.of(1, "2005-06-10").run_ts == dt.datetime(2005, 6, 11)
+
+
+def test_snapshot_col_and_column_list(spark):
+    from pyspark.sql import functions as F
+
+    from warehaus.batch import snapshot_col
+    from warehaus.schemas import TABLES
+    from warehaus.sources.extract import column_list
+
+    df = spark.createDataFrame([("2001-01-01",), ("2005-06-14",), ("2005-06-15",), (None,)], "d string")
+    got = [r.s for r in df.select(snapshot_col(F.col("d")).alias("s")).collect()]
+    assert got == ["CM_20050609", "CM_20050614", None, None]
+    assert column_list(" officecode , city,phone ", TABLES["offices"]) == ["officecode", "city", "phone"]
+    assert column_list(None, TABLES["offices"]) == TABLES["offices"].stage.names
