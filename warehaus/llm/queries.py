@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from warehaus.llm import exact_dedup, licenses, mixing, sql
+from warehaus.llm import exact_dedup, licenses, mixing, sql, warc
 from warehaus.llm.common import table
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents")).drop("placements")
 
@@ -24,7 +28,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_license_scan, op4_exact_dedup, op10_mixing)}
+    return {f.__name__: f for f in (op1_warc, op3_license_scan, op4_exact_dedup, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:

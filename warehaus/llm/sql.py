@@ -4,6 +4,14 @@ from __future__ import annotations
 
 from warehaus.llm import licenses, mixing
 
+OP1 = """
+with t as (select page_id, strlen(coalesce(html, '')) as payload_bytes, sha256(coalesce(html, '')) as payload_digest from pages),
+f as (select *, case when payload_bytes >= 100 then min(page_id) over (partition by payload_digest) end as first from t)
+select page_id, payload_bytes, payload_digest, case when page_id > first then 'revisit' else 'response' end as record_type,
+  case when page_id > first then first end as refers_to
+from f
+"""
+
 OP4 = """
 with t as (select doc_id, sha256(coalesce(text, '')) as h from documents)
 select doc_id, max(doc_id) over (partition by h) as keep_id, count(*) over (partition by h) as group_size,
@@ -87,4 +95,4 @@ from l join w on l.place = w.place and l.shard = w.party
 
 
 def queries() -> dict[str, str]:
-    return {"op3_license_scan": op3(), "op4_exact_dedup": OP4, "op10_mixing": op10()}
+    return {"op1_warc": OP1, "op3_license_scan": op3(), "op4_exact_dedup": OP4, "op10_mixing": op10()}
