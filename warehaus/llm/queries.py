@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from warehaus.llm import exact_dedup, language, licenses, mixing, pieces, sql, warc
+from warehaus.llm import exact_dedup, jaccard, language, licenses, mixing, pieces, sql, warc
 from warehaus.llm.common import table
 
 
@@ -27,6 +27,10 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(table(spark, sf_dir, "documents"), check=True)
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join_components(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.evaluate(table(spark, sf_dir, "documents"))
 
@@ -36,7 +40,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc, op3_license_scan, op4_exact_dedup, op5_sentencepiece, op7_language, op10_mixing)}
+    return {f.__name__: f for f in (op1_warc, op3_license_scan, op4_exact_dedup, op5_sentencepiece, op6_ngram_jaccard, op7_language, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:

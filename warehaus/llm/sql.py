@@ -20,6 +20,22 @@ from t
 """
 
 
+OP6 = """
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as w from documents),
+s as (select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 4 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) end) as g from w),
+n as (select w.doc_id, count(g) as n from w left join s on w.doc_id = s.doc_id group by w.doc_id),
+o as (select a.doc_id as x, b.doc_id as y, count(*) as common from s a join s b on a.g = b.g and a.doc_id <> b.doc_id
+  group by 1, 2),
+e as (select x, y from o join n a on a.doc_id = x join n b on b.doc_id = y
+  where 100 * common >= 85 * (a.n + b.n - common)),
+r as (select doc_id as x, doc_id as y from n union select r.x, e.y from r join e on r.y = e.x)
+select n.doc_id, n.n as n_shingles, min(r.y) as component_id from n join r on r.x = n.doc_id group by 1, 2
+"""
+
+
 def op3() -> str:
     """Every start of every template is tried, without any index."""
     lists = []
@@ -95,4 +111,4 @@ from l join w on l.place = w.place and l.shard = w.party
 
 
 def queries() -> dict[str, str]:
-    return {"op1_warc": OP1, "op3_license_scan": op3(), "op4_exact_dedup": OP4, "op10_mixing": op10()}
+    return {"op1_warc": OP1, "op3_license_scan": op3(), "op4_exact_dedup": OP4, "op6_ngram_jaccard": OP6, "op10_mixing": op10()}
