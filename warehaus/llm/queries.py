@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from warehaus.llm import exact_dedup, jaccard, language, licenses, mixing, pages, pieces, sql, warc
+from warehaus.llm import exact_dedup, jaccard, language, licenses, mixing, neighbours, pages, pieces, sql, warc
 from warehaus.llm.common import table
 
 
@@ -39,12 +39,16 @@ def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.extract(table(spark, sf_dir, "pages"))
 
 
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc, op3_license_scan, op4_exact_dedup, op5_sentencepiece, op6_ngram_jaccard, op7_language, op8_html_text, op10_mixing)}
+    return {f.__name__: f for f in (op1_warc, op3_license_scan, op4_exact_dedup, op5_sentencepiece, op6_ngram_jaccard, op7_language, op8_html_text, op9_neighbours, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
