@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from warehaus.llm import exact_dedup, jaccard, language, licenses, mixing, neighbours, pages, pieces, sql, warc
+from warehaus.llm import chat, exact_dedup, jaccard, language, licenses, mixing, neighbours, pages, pieces, sql, warc
 from warehaus.llm.common import table
 
 
@@ -15,6 +15,11 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = chat.as_transcript(table(spark, sf_dir, "conversations"))
+    return chat.parse(raw, role=F.when(~chat.held_out(F.col("conv_id")), F.col("role")))
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents")).drop("placements")
 
@@ -48,7 +53,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc, op3_license_scan, op4_exact_dedup, op5_sentencepiece, op6_ngram_jaccard, op7_language, op8_html_text, op9_neighbours, op10_mixing)}
+    return {f.__name__: f for f in (op1_warc, op2_chat, op3_license_scan, op4_exact_dedup, op5_sentencepiece, op6_ngram_jaccard, op7_language, op8_html_text, op9_neighbours, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
