@@ -1,0 +1,300 @@
+"""WARC, HTML text, nearest neighbours and transcript parsing."""
+
+import hashlib
+from collections import Counter
+from difflib import SequenceMatcher
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from warehaus.llm import chat, neighbours, pages, warc
+
+PAGE = "page_id long, url string, html string"
+SMALL = "/root/testdata/sf0.001"
+
+
+# --------------------------------------------------------------------- WARC
+
+def page_rows():
+    big = "<p>" + "é" * 80 + "</p>"
+    return [(3, "http://a.com/x", big), (1, "http://a.com/y z", big), (2, None, big), (4, "http://b.com", "short"), (5, "u", "short"),
+            (6, "u", None), (None, "u", big), (1, "http://a.com/y z", big), (7, "http://c.com/\r\nX: y", "L" * 3_000_000), (8, "", "")]
+
+
+def brute_warc(rows):
+    payloads = [(p, (h or "").encode()) for p, _, h in rows]
+    least = {}
+    for p, b in payloads:
+        if p is not None and len(b) >= 100:
+            least[b] = min(least.get(b, p), p)
+    out = Counter()
+    for p, b in payloads:
+        first = least.get(b)
+        again = p is not None and first is not None and p > first
+        out[p, len(b), hashlib.sha256(b).hexdigest(), "revisit" if again else "response", first if again else None] += 1
+    return out
+
+
+def test_warc_round_trip(spark):
+    df = spark.createDataFrame(page_rows(), PAGE).withColumns({"digest": F.lit("d"), "payload": F.lit("p"), "id": F.lit(1)})
+    got = warc.round_trip(df, frame_bytes=200, bundle_bytes=500)
+    assert got.columns == ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    assert Counter(map(tuple, got.collect())) == brute_warc(page_rows())
+
+
+def test_warc_payloads_and_headers_come_back(spark):
+    df = spark.createDataFrame([r for r in page_rows() if r[0] is not None], PAGE)
+    folder = warc.write_archive(df, "page_id", "url", "html")
+    got = {r.record_id: r for r in warc.read_archive(spark, folder).collect()}
+    assert bytes(got["urn:page:7"].payload) == b"L" * 3_000_000
+    assert got["urn:page:7"].target_uri == "http://c.com/%0D%0AX:%20y"
+    assert got["urn:page:3"].payload is None and got["urn:page:3"].refers_to == "urn:page:1"
+    assert bytes(got["urn:page:1"].payload).decode() == page_rows()[0][2]
+
+
+def test_warc_fetch_reads_single_records(spark):
+    rows = [(i, f"http://h/{i}", f"payload {i} " * 40) for i in range(300)]
+    folder = warc.write_archive(spark.createDataFrame(rows, PAGE).repartition(3), "page_id", "url", "html", frame_bytes=2000)
+    index = warc.index(spark, folder)
+    assert index.count() == 300 and index.select("bundle", "frame").distinct().count() > 30
+    wanted = spark.createDataFrame([("urn:page:17",), ("urn:page:255",), ("urn:page:999",)], "record_id string")
+    got = {r.record_id: bytes(r.payload).decode() for r in warc.fetch(wanted, folder).collect()}
+    assert got == {f"urn:page:{i}": f"payload {i} " * 40 for i in (17, 255)}
+
+
+def test_warc_bundle_is_plain_zstandard(spark):
+    """Any Zstandard reader sees one stream of records; the seek table is a skippable frame."""
+    import zstandard
+    rows = [(i, f"http://h/{i}", f"payload {i} " * 40) for i in range(50)]
+    folder = warc.write_archive(spark.createDataFrame(rows, PAGE).coalesce(1), "page_id", "url", "html", frame_bytes=3000)
+    store, root = warc.open_store(f"{folder}/bundles")
+    name = warc.index(spark, folder).first().bundle
+    with store.open_input_file(f"{root}/{name}") as f:
+        table = warc.read_seek_table(f)
+        f.seek(0)
+        raw = f.read(f.size())
+    text = zstandard.ZstdDecompressor().stream_reader(raw, read_across_frames=True).read()
+    assert text.count(b"WARC/1.1\r\n") == 50 and sum(d for _, _, d in table) == len(text) and len(table) > 5
+
+
+def test_warc_damage_is_found():
+    data = warc.record("urn:page:1", "u", 3, hashlib.sha256(b"abc").hexdigest(), b"abc", None)
+    assert warc.parse_record(data)[0]["payload"] == b"abc"
+    with pytest.raises(ValueError):
+        warc.parse_record(data.replace(b"abc", b"abd"))
+    with pytest.raises(ValueError):
+        warc.parse_record(data[:-3])
+
+
+# --------------------------------------------------------------------- HTML
+
+@pytest.mark.parametrize("source,text", [
+    (None, ""), ("", ""), ("plain  text\n here", "plain text here"), ("a < b", "a < b"), ("<", "<"),
+    ("<p>one<p>two<br>three</p>four", "one\ntwo three\nfour"),
+    ("<title>t</title><script>if (a<b) '</p>'</script><style>p{}</style><p>x", "x"),
+    ("<nav>menu</nav><header><h1>Site</h1></header><article><header><h1>T</h1></header><p>a&nbsp;&amp;&#32;b</p></article><p>rest", "T\na & b"),
+    ("<main><h1>H</h1><p>m</p><aside>no</aside><form>f</form></main><footer>no", "H\nm"),
+    ("<article><p>keep</p><div class='comment-list'><p>no</p></div><div id='cookieNotice'>no</div><p hidden>no</p>"
+     "<div role=complementary>no</div><div class='ad'>no</div><p>adds</p><ul class='shadow'><li>i<li>j</ul></article>", "keep\nadds\ni\nj"),
+    ("<div class='has-sidebar'><article><p>in a wrapper</p></article></div>", "in a wrapper"),
+    ("<article><p>A</p></article><div class=related><article><p>B</p></article></div>", "A"),
+    ("<!-- <p>no</p> --><p>a<!-- x -->b<b>c</b> <i>d</i></p><svg><text>no</text></svg>", "abc d"),
+    ("<html><head><title>x<body><p>k</p>", ""), ("<head><meta><p>k</p>", "k"),
+    ("<table><tr><td>a<td>b<tr><td>c</table>", "a\nb\nc"), ("<article><div hidden><p>x</div></article>", ""),
+])
+def test_blocks(source, text):
+    marked, rest = pages.main_blocks(source)
+    assert "\n".join(marked or rest) == text
+
+
+def test_shared_is_a_longest_common_subsequence():
+    rng = np.random.default_rng(2)
+    for _ in range(200):
+        a, b = ([str(x) for x in rng.integers(0, 6, int(rng.integers(0, 30)))] for _ in range(2))
+        got = sorted(pages.shared(a, b))
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+        it = iter(b)
+        assert len(got) == best[-1][-1] and all(a[i] in it for i in got)
+
+
+def site_rows():
+    menu = "<p>Home</p><p>About us</p>"
+    rows = [(i, f"http://Site.com/{'news' if i % 2 else 'blog'}/{i:03}?q=1#x", f"{menu}<p>{'word ' * 20}{i}</p><p>Imprint</p>") for i in range(60)]
+    return rows + [(100, "http://other.com/a", "<p>Home</p><p>alone</p>"), (101, None, None), (102, None, "<p>x</p>"), (1, rows[1][1], rows[1][2]),
+                   (103, "http://copy.com/1", "<p>same text</p><p>both</p>"), (104, "http://copy.com/2", "<p>same text</p><p>both</p>")]
+
+
+@pytest.mark.parametrize("parts", [1, 5, 40])
+def test_differencing_does_not_depend_on_cuts(spark, parts):
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        df = spark.createDataFrame(site_rows(), PAGE).repartition(3).withColumns({"path": F.lit("p"), "host": F.lit(1), "text": F.lit("t")})
+        got = Counter((r.page_id, r.text, r.n_chars) for r in pages.extract(df).collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 8)
+    want = Counter()
+    for i, url, source in site_rows():
+        text = {100: "Home\nalone", 101: "", 102: "x", 103: "same text\nboth", 104: "same text\nboth"}.get(i, "word " * 20 + str(i))
+        want[i, text, len(text)] += 1
+    assert sum(got.values()) == len(site_rows())
+    assert {k: n for k, n in got.items() if k[0] != 1} == {k: n for k, n in want.items() if k[0] != 1}  # page 1 is its own neighbour
+
+
+def test_articles_are_kept_whole(spark):
+    """Pages of one site that share article passages lose none of them."""
+    both = "<p>shared passage one</p><p>shared passage two</p>"
+    rows = [(i, f"http://s/{i}", f"<nav>m</nav><article>{both}<p>own {i}</p></article><footer>f</footer>") for i in range(6)]
+    got = {r.page_id: r.text for r in pages.extract(spark.createDataFrame(rows, PAGE)).collect()}
+    assert got == {i: f"shared passage one\nshared passage two\nown {i}" for i in range(6)}
+
+
+def test_long_page_is_aligned_whole():
+    a = [f"line {i % 997}" for i in range(6000)]
+    b = a[:2500] + ["own"] + a[2600:]
+    got = pages.shared(a, b)
+    assert len(got) >= SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks()[0].size and len(got) >= 5900
+
+
+# --------------------------------------------------------------- neighbours
+
+def brute_nearest(vectors, ids, k):
+    out = {}
+    for i in np.flatnonzero(ids % 20 == 0):
+        s = vectors @ vectors[i]
+        s[i] = -np.inf
+        order = np.lexsort((ids, -s))[:min(k, len(ids) - 1)]
+        out[int(ids[i])] = [(int(ids[j]), float(s[j])) for j in order]
+    return out
+
+
+@pytest.mark.parametrize("bucket_rows,query_rows", [(8192, 8192), (150, 20)])
+def test_recall_against_brute_force(spark, bucket_rows, query_rows):
+    df = spark.read.parquet(f"{SMALL}/embeddings.parquet")
+    rows = df.orderBy("vec_id").collect()
+    vectors, ids = np.array([r.embedding for r in rows], float), np.array([r.vec_id for r in rows])
+    got: dict = {}
+    for r in neighbours.search(df, F.col("vec_id") % 20 == 0, bucket_rows=bucket_rows, query_rows=query_rows).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    want = brute_nearest(vectors, ids, 20)
+    assert got.keys() == want.keys() and all(len(x) == 20 for x in got.values())
+    hit = sum(len({v for v, _ in got[q]} & {v for v, _ in want[q]}) for q in want)
+    assert hit >= 0.9 * 20 * len(want)
+    where = {int(i): n for n, i in enumerate(ids)}
+    for q, found in got.items():
+        assert all(s == pytest.approx(float(vectors[where[v]] @ vectors[where[q]]), abs=1e-12) for v, s in found)
+
+
+def test_clustered_vectors_prune_and_keep_recall():
+    rng = np.random.default_rng(0)
+    centres = rng.normal(size=(40, 32)) * 4
+    x = centres[rng.integers(0, 40, 4000)] + rng.normal(size=(4000, 32)) * 0.4
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    found = neighbours.search_bucket(x, x[:100], np.arange(100), 1.0, 20, 8, neighbours.stop_ratio(8, 0.95))
+    hit = seen = 0
+    for i, (at, _) in enumerate(found):
+        s = x @ x[i]
+        s[i] = -np.inf
+        hit += len(set(np.argsort(-s)[:20]) & set(at))
+        seen += len(at)
+    assert hit >= 0.9 * 2000
+
+
+def test_vectors_that_take_no_part(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(20, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [0.5, 0.5]), (3, None), (4, [0.0, 0.0]), (5, [nan, 1.0]), (6, [1.0, None]), (7, [inf, 1.0]),
+            (8, [1.0]), (None, [0.5, 0.5]), (40, [0.0, 2.0]), (40, [0.0, 2.0]), (60, None), (80, [])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumns({"row": F.lit(1), "score": F.lit(2), "bucket": F.lit(0)})
+    got = Counter(map(tuple, neighbours.search(df, F.col("vec_id") % 20 == 0).collect()))
+    near_20 = [(20, 1, 1, 0.5), (20, 2, 2, 0.5), (20, 3, None, 0.5), (20, 4, 40, 0.0), (20, 5, 40, 0.0)]
+    near_40 = [(40, 1, 40, 4.0), (40, 2, 1, 1.0), (40, 3, 2, 1.0), (40, 4, None, 1.0), (40, 5, 20, 0.0)]
+    assert got == Counter(near_20 + near_40 + near_40)
+
+
+def test_no_vectors(spark):
+    df = spark.createDataFrame([], "vec_id long, embedding array<float>")
+    assert neighbours.search(df, F.col("vec_id") % 20 == 0).collect() == []
+
+
+def test_chi_square_quantiles():
+    for dims, q in ((2, 5.991), (8, 15.507), (10, 18.307)):  # the tabulated 95 % quantiles
+        assert neighbours.stop_ratio(dims, 0.95) == pytest.approx(q, abs=1e-3)
+
+
+# ---------------------------------------------------------------- transcripts
+
+def conversations(spark):
+    return spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
+
+
+def parsed(spark, raw):
+    return chat.parse(raw, role=F.when(~chat.held_out(F.col("conv_id")), F.col("role")))
+
+
+def test_roles_and_turns_are_recovered(spark):
+    truth = conversations(spark)
+    got = parsed(spark, chat.as_transcript(truth)).select("conv_id", "turn", "line", F.col("role").alias("got"), F.col("text").alias("found"))
+    both = truth.join(got, ["conv_id", "turn"], "full").where(chat.held_out(F.col("conv_id")))
+    n, right, text = both.agg(F.count("*"), F.sum((F.col("role") == F.col("got")).cast("int")),
+                              F.sum((F.trim("text", F.lit(" \n")) == F.col("found")).cast("int"))).first()
+    assert n > 100 and right >= 0.97 * n and text >= 0.97 * n
+
+
+def test_result_does_not_depend_on_cuts(spark):
+    """One conversation over many partitions is decoded as in one piece."""
+    raw = chat.as_transcript(conversations(spark)).withColumn("conv_id", F.when(F.col("conv_id") % 3 == 0, 0).otherwise(F.col("conv_id")))
+    raw = raw.withColumn("turn", F.xxhash64("text") % 100_000)
+    seen = []
+    for n in (1, 7, 24):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            seen.append(sorted((tuple(r) for r in parsed(spark, raw).collect()), key=repr))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", 8)
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert seen[0] == seen[1] == seen[2] and len(seen[0]) > 200
+
+
+def test_viterbi_equals_all_paths():
+    import itertools
+
+    import pandas as pd
+    rng = np.random.default_rng(4)
+    model = chat.Model({0: 3, 2: 9}, {(2, 4): 5, (4, 2): 5, (3, 3): 2}, {})
+    lines = pd.DataFrame({f: rng.integers(0, n, 4) for f, n in chat.FEATURES.items()})
+    e = model.emission(lines)
+
+    def value(p):
+        return model.start[p[0]] + e[0, p[0]] + sum(model.move[a, b] + e[k + 1, b] for k, (a, b) in enumerate(itertools.pairwise(p)))
+    best = max(itertools.product(range(chat.STATES), repeat=4), key=value)
+    assert value(tuple(model.decode(e, None, None))) == pytest.approx(value(best))
+    assert model.transfer(e, True)[0].max() == pytest.approx(value(best))
+    m = model.transfer(e[2:], False)
+    first = model.transfer(e[:2], True)[0]
+    assert (first[:, None] + m).max() == pytest.approx(value(best))
+
+
+@pytest.mark.parametrize("line,marker,text", [
+    ("User: hi", "user", "hi"), ("### Assistant", "assistant", ""), ("<|system|> be kind", "system", "be kind"), ("[BOT] yes", "assistant", "yes"),
+    ("**Human**: so?", "user", "so?"), ("Kim: hello", "name", "hello"), ("> quoted", "quote", "quoted"), ("no marker: here", "none", "no marker: here"),
+    ("", "none", ""), ("10:30 start", "none", "10:30 start"), ("<|foo|> x", "none", "<|foo|> x"),
+])
+def test_markers(line, marker, text):
+    got = chat.observe(line)
+    assert (chat.MARKERS[got[1]], got[0]) == (marker, text)
+
+
+def test_messy_transcripts(spark):
+    rows = [(1, 0, "user", "User: hi\nthere"), (1, 1, "assistant", "Assistant: " + "long text " * 30_000), (1, 1, "odd", None), (None, 0, "user", "User: who"),
+            (None, None, None, "Assistant: me"), (2, 0, "user", ""), (1, 0, "user", "User: hi\nthere"), (3, 5, None, None)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumns({"row": F.lit(1), "line": F.lit(2), "part": F.lit(0), "conv": F.lit(7)})
+    got = chat.parse(df, role=F.col("role")).collect()
+    assert {r.conv_id for r in got} == {1, None, 2, 3}
+    assert sum(r.n_lines for r in got) == 10
+    assert any(r.rendered == "<|user|>\nhi\nthere\n<|end|>\n" for r in got) and any(len(r.text) > 290_000 for r in got)
+    assert chat.parse(df.limit(0), role=F.col("role")).collect() == []
+    assert len(chat.parse(df).collect()) >= 4  # without labels
