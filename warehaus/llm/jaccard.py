@@ -6,11 +6,12 @@
 
 2. *Co-location.*  Sizes fall into classes; for a class the shingles are dealt
    over m segments by hash.  Two linked sets differ in at most H shingles (a
-   bound of their class), so with m > H segments some segment is equal in
-   both, and its hash is a shared signature.  A set emits one signature per
-   non-empty segment, for its own class and those of sets it may be the larger
-   partner of.  (m exceeds H by a quarter; a set with at least m - H empty
-   segments emits these too, so no pair depends on an unseen segment.)
+   bound of their class), so with m > H at least m - H segments are equal in
+   both, and the hash of one is a shared signature.  A set emits signatures for
+   its own class and those of sets it may be the larger partner of, from its
+   segments of q shingles or more, where q (at most 3) is the largest number
+   for which fewer than m - H segments are thinner.  (m exceeds H by a quarter.
+   Of the equal segments of a pair one has at least the larger q of both.)
    Signatures seen for one key only vanish; the others tie their keys into
    candidate classes, found by star edges and connected components.
 
@@ -42,6 +43,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from warehaus.llm.common import BITS_PER_BLOCK, bit_blocks, components, stored
+from warehaus.llm.exact_dedup import flagged, repeated_cells
 
 WORDS = 5
 PERCENT = 80
@@ -49,6 +51,7 @@ BLOCK = 4096
 FILTER_BITS = 23  # of the filter that says whose sets are needed: 1 MB
 U = np.uint64
 BATCH_BYTES = 1 << 20
+FULL = 3  # shingles of a segment that is worth a signature
 
 
 # ------------------------------------------------------------------ shingles
@@ -157,9 +160,11 @@ class Classes:
             value = half(scattered & U(0xFFFFFFFF)) + (half(scattered >> U(32)) << U(32))
             owner = np.repeat(np.arange(len(n)), parts)
             part = (np.arange(total) - base[owner]).astype(U)
-            empties = np.bincount(owner, weights=held == 0, minlength=len(n))
-            bare = empties >= (self.parts - self.differing)[np.minimum(kind, last)]
-            keep = (held > 0) | bare[owner]
+            same = (self.parts - self.differing)[np.minimum(kind, last)]  # segments that are equal in a pair, at least
+            least = np.zeros(len(n), np.int64)
+            for q in range(1, FULL + 1):
+                least[np.bincount(owner, weights=held < q, minlength=len(n)) < same] = q
+            keep = held >= least[owner]
             out_text.append(owner[keep])
             out.append(mixed(value + mixed(kind[owner].astype(U) * U(1 << 40) + part) * U(3) + held.astype(U))[keep])
         if not out:
@@ -277,9 +282,14 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
+def row_mark(df: DataFrame, id_col: str, text_col: str) -> list:
+    """96 hash bits of a row's id and text."""
+    return [F.xxhash64(df[id_col], df[text_col]).alias("mark"), F.hash(df[text_col], df[id_col]).alias("mark_more")]
+
+
 def signed_rows(df: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
-    """(id, n_shingles, key, signatures) per row."""
-    rows = df.select(df[id_col].alias("id"), df[text_col].alias("text"))
+    """(id, mark, mark_more, n_shingles, key, signatures) per row."""
+    rows = df.select(df[id_col].alias("id"), *row_mark(df, id_col, text_col), df[text_col].alias("text"))
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -288,11 +298,12 @@ def signed_rows(df: DataFrame, id_col: str, text_col: str, words: int, percent:
             owner, sig = classes.signatures(at, hashes)
             ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=part.num_rows))])
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(np.diff(at)), pa.array(_signed(keys_of(at, hashes))),
+                [*(part.column(i) for i in range(3)), pa.array(np.diff(at)), pa.array(_signed(keys_of(at, hashes))),
                  pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(_signed(sig)))],
-                ["id", "n_shingles", "key", "signatures"])
+                ["id", "mark", "mark_more", "n_shingles", "key", "signatures"])
 
-    return rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, n_shingles long, key long, signatures array<long>")
+    return rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, mark long, mark_more int, n_shingles long, key long, "
+                                "signatures array<long>")
 
 
 def needed_sets(df: DataFrame, text_col: str, words: int, bits: np.ndarray) -> DataFrame:
@@ -359,15 +370,17 @@ def _tree_links(percent: int):
     return run
 
 
-def join_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
-                    percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id (smallest id reachable by links)."""
+def _classed_rows(df: DataFrame, id_col: str, text_col: str, words: int, percent: int, block: int) -> DataFrame:
+    """(id, mark, mark_more, n_shingles, key, component_id) per row; component_id is null for empty sets."""
     rows = stored(signed_rows(df, id_col, text_col, words, percent), "jaccard-rows")
     least = rows.where("n_shingles > 0").groupBy("key").agg(F.min("id").alias("id"))
     # One row of signatures per key: of equal sets, the row with the smallest id.
-    first = rows.select(F.col("id").alias("i"), F.col("key").alias("k"), "signatures")
-    one = first.join(least, (F.col("k") == F.col("key")) & F.col("i").eqNullSafe(F.col("id")), "left_semi") \
-        .select(F.col("k").alias("key"), F.explode("signatures").alias("signature"))
+    # Of equal sets, the rows with the smallest id emit; only rows whose key may be repeated are shuffled for it.
+    keyed = rows.where("n_shingles > 0").select(F.col("id").alias("i"), F.col("key").alias("h"), "signatures")
+    cells, blocks = repeated_cells(keyed, rows.count())
+    seen = flagged(keyed, stored(cells, "jaccard-cells"), blocks)
+    again = seen.where("maybe").join(least, (F.col("h") == F.col("key")) & F.col("i").eqNullSafe(F.col("id")), "left_semi")
+    one = seen.where(~F.col("maybe")).unionByName(again).select(F.col("h").alias("key"), F.explode("signatures").alias("signature"))
     same = Window.partitionBy("signature")
     ties = one.withColumns({"u": F.min("key").over(same), "top": F.max("key").over(same)}) \
         .where("u < top and key <> u").select("u", F.col("key").alias("v")).distinct()
@@ -387,6 +400,11 @@ def join_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     least = least.join(classes, "key", "left").select("key", "id", F.coalesce("comp", "key").alias("comp"))
     named = least.groupBy("comp").agg(F.min("id").alias("component_id")).join(least.select("key", "comp"), "comp")
     named = named.select("key", "component_id")
-    return rows.select("id", "n_shingles", "key").join(named, "key", "left").select(
-        F.col("id").alias("doc_id"), "n_shingles",
-        F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "id")).otherwise(F.col("id")).alias("component_id"))
+    return rows.select("id", "mark", "mark_more", "n_shingles", "key").join(named, "key", "left")
+
+
+def join_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
+                    percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
+    """One row per input row: doc_id, n_shingles, component_id (smallest id reachable by links)."""
+    rows = _classed_rows(df, id_col, text_col, words, percent, block)
+    return rows.select(F.col("id").alias("doc_id"), "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
