@@ -30,12 +30,25 @@ CELLS_PER_ROW = 16
 
 def repeated_cells(hashes: DataFrame, rows: int, max_blocks: int = MAX_BLOCKS) -> tuple[DataFrame, int]:
     """The filter of cells touched at least twice, from a column ``h`` of 64-bit hashes."""
-    blocks = min(max_blocks, 1 << max(0, math.ceil(math.log2(max(1, rows) * CELLS_PER_ROW / BITS_PER_BLOCK))))
-    cells = _located(hashes, blocks).select("block", F.explode(F.array("cell_1", "cell_2")).alias("cell"))
-    twice = cells.groupBy("block", "cell").agg(F.count("*").alias("n")).where("n > 1")
+    blocks = _blocks(rows, max_blocks)
+    twice = _cells(hashes, blocks).groupBy("block", "cell").agg(F.count("*").alias("n")).where("n > 1")
     return bit_blocks(twice), blocks
 
 
+def key_filter(hashes: DataFrame, rows: int, max_blocks: int = MAX_BLOCKS) -> tuple[DataFrame, int]:
+    """The filter of all cells that the hashes in column ``h`` touch."""
+    blocks = _blocks(rows, max_blocks)
+    return bit_blocks(_cells(hashes, blocks)), blocks
+
+
+def _blocks(rows: int, max_blocks: int) -> int:
+    return min(max_blocks, 1 << max(0, math.ceil(math.log2(max(1, rows) * CELLS_PER_ROW / BITS_PER_BLOCK))))
+
+
+def _cells(hashes: DataFrame, blocks: int) -> DataFrame:
+    return _located(hashes, blocks).select("block", F.explode(F.array("cell_1", "cell_2")).alias("cell"))
+
+
 def _located(df: DataFrame, blocks: int) -> DataFrame:
     """Add the filter block of ``h`` and its two cells; equal cells would count one row twice."""
     g = F.xxhash64("h")

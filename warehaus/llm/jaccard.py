@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from warehaus.llm.common import BITS_PER_BLOCK, bit_blocks, components, stored
-from warehaus.llm.exact_dedup import flagged, repeated_cells
+from warehaus.llm.exact_dedup import flagged, key_filter, repeated_cells
 
 WORDS = 5
 PERCENT = 80
@@ -408,3 +408,23 @@ def join_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """One row per input row: doc_id, n_shingles, component_id (smallest id reachable by links)."""
     rows = _classed_rows(df, id_col, text_col, words, percent, block)
     return rows.select(F.col("id").alias("doc_id"), "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
+
+
+def drop_near(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
+              percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
+    """The rows of ``df`` without near duplicates: of every component the row with the smallest id stays.
+
+    Rows with an empty set all stay; rows equal in id and text stay or go
+    together.  A broadcast filter of bounded size finds the rows that may go;
+    only these are shuffled, the others pass straight through.
+    """
+    rows = stored(_classed_rows(df, id_col, text_col, words, percent, block).where("n_shingles > 0"), "near-rows")
+    classes = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("key "), F.col("key").cast("string")))
+    rows = rows.withColumns({"class": classes, "place": F.struct(F.col("id").isNull().alias("last"), "id", "mark", "mark_more")})
+    stays = rows.groupBy("class").agg(F.min("place").alias("least"), F.max("place").alias("most")).where("least <> most")
+    gone = stored(rows.join(stays, "class").where("place <> least").select("mark", "mark_more").distinct(), "near-gone")
+    wide = df.select(F.struct("*").alias("whole"), *row_mark(df, id_col, text_col))
+    bits, blocks = key_filter(gone.select(F.col("mark").alias("h")), gone.count())
+    seen = flagged(wide.withColumnRenamed("mark", "h"), stored(bits, "near-bits"), blocks).withColumnRenamed("h", "mark")
+    left = seen.where("maybe").join(gone, ["mark", "mark_more"], "left_anti")
+    return seen.where(~F.col("maybe")).select("whole").unionByName(left.select("whole")).select("whole.*")

@@ -134,15 +134,15 @@ def _model_bytes(model_path: str) -> bytes:
 
 def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_path: str = DEFAULT_MODEL,
            keep: tuple[str, ...] = (), check: bool = False) -> DataFrame:
-    """(doc_id, ids, n_ids) per row, with ``keep`` columns under their own names.
+    """(doc_id, ids, n_ids) per row, with the ``keep`` columns whose names do not clash.
 
     With ``check`` each row is decoded again and ``round_trip`` says whether
     the text came back (the word mark itself comes back as a space).  The model
     file is read once on the driver and sent with the task (0.5 MB).
     """
     model = _model_bytes(model_path)
-    rows = df.select(df[id_col].alias("doc_id"), *[df[c] for c in keep if c not in (id_col, text_col)],
-                     df[text_col].alias("__text"))
+    taken = {id_col, text_col, "doc_id", "ids", "n_ids", "round_trip"}
+    rows = df.select(df[id_col].alias("doc_id"), *[df[c] for c in keep if c not in taken], df[text_col].alias("__text"))
     kept = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes if n != "__text")
     names = [c for c in rows.columns if c != "__text"]
     extra = ", round_trip boolean" if check else ""
