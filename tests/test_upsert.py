@@ -6,7 +6,7 @@ from warehaus.batch import Batch
 from warehaus.operators.dedupe import latest_per_key
 from warehaus.operators.lookup import backfill_office, resolve_manager
 from warehaus.operators.surrogate import assign_surrogate_keys
-from warehaus.operators.upsert import new_rows, prepare_stage, updated_target, upsert
+from warehaus.operators.upsert import classify, insert_new, update_newer, upsert
 from warehaus.schemas import TABLES, conform
 
 B = Batch.of(7, "1998-06-01", "1998-06-02 00:00:00")
@@ -75,10 +75,10 @@ def test_lookup_misses_give_null_and_updates_reresolve(spark):
                                        "dw_order_id bigint, dw_customer_id bigint, src_ordernumber bigint, "
                                        "src_customernumber bigint, src_create_timestamp timestamp_ntz, "
                                        "src_update_timestamp timestamp_ntz"), spec.dw_schema)
-    prep = prepare_stage(stage, spec, {"customers": customers})
-    upd = {r.src_ordernumber: r for r in updated_target(prep, dw, spec, B).collect()}
+    seen, dims = classify(stage, dw, spec), {"customers": customers}
+    upd = {r.src_ordernumber: r for r in update_newer(seen, dw, spec, B, dims).collect()}
     assert upd[100].dw_customer_id == 10
-    new = {r.src_ordernumber: r for r in new_rows(prep, dw, spec, B).collect()}
+    new = {r.src_ordernumber: r for r in insert_new(seen, dw, spec, B, dims).collect()}
     assert new[101].dw_customer_id is None and new[101].dw_order_id == 6
 
 

@@ -1,7 +1,7 @@
 """Dense surrogate keys for new rows, in natural-key order.
 
 No global window: the rows are range-partitioned and sorted by the natural
-key (a distributed sort), pinned with a reliable checkpoint so a re-executed
+key and then the other columns (a distributed sort), pinned with a reliable checkpoint so a re-executed
 task sees the same partition contents, counted per partition (one small row
 per partition), and numbered as ``start + rows in earlier partitions +
 position in the partition``.  The per-partition offsets are bounded by the
@@ -28,7 +28,9 @@ def assign_surrogate_keys(df: DataFrame, id_col: str, key: Sequence[str],
                           start: int | Column = 0) -> DataFrame:
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    ordered = df.orderBy(*[F.col(k).asc_nulls_first() for k in key])
+    # The other columns break ties: rows without a key spread over partitions and keep one order.
+    rest = [c for c in df.columns if c not in key]
+    ordered = df.orderBy(*[F.col(k).asc_nulls_first() for k in [*key, *rest]])
     pinned = ordered.checkpoint(eager=True)
 
     pid = F.spark_partition_id()

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from warehaus.operators.lookup import backfill_office, resolve_manager
 from warehaus.operators.surrogate import assign_surrogate_keys
-from warehaus.operators.upsert import new_rows, prepare_stage, prepare_stage_split, updated_target
+from warehaus.operators.upsert import classify, insert_new, prepare_stage, update_newer, upsert
 from warehaus.schemas import LOAD_ORDER, TABLES
 from warehaus.sources.fixtures import BATCH, Fixtures
 
@@ -21,25 +21,20 @@ def prepared(fx: Fixtures, table: str) -> DataFrame:
     return prepare_stage(fx.stage(table), TABLES[table], lookup_dims(fx))
 
 
-def split(fx: Fixtures, table: str):
-    return prepare_stage_split(fx.stage(table), TABLES[table], lookup_dims(fx))
+def _classified(fx: Fixtures, table: str) -> DataFrame:
+    return classify(fx.stage(table), fx.dw(table), TABLES[table])
 
 
-def insert_new(fx: Fixtures, table: str) -> DataFrame:
-    keyed, keyless = split(fx, table)
-    return new_rows(keyed, fx.dw(table), TABLES[table], BATCH, keyless=keyless)
+def insert_new_rows(fx: Fixtures, table: str) -> DataFrame:
+    return insert_new(_classified(fx, table), fx.dw(table), TABLES[table], BATCH, lookup_dims(fx))
 
 
-def update_newer(fx: Fixtures, table: str) -> DataFrame:
-    keyed, _ = split(fx, table)
-    return updated_target(keyed, fx.dw(table), TABLES[table], BATCH, only_changed=True)
+def update_newer_rows(fx: Fixtures, table: str) -> DataFrame:
+    return update_newer(_classified(fx, table), fx.dw(table), TABLES[table], BATCH, lookup_dims(fx), only_changed=True)
 
 
 def upsert_table(fx: Fixtures, table: str) -> DataFrame:
-    spec = TABLES[table]
-    keyed, keyless = split(fx, table)
-    out = updated_target(keyed, fx.dw(table), spec, BATCH).unionByName(
-        new_rows(keyed, fx.dw(table), spec, BATCH, keyless=keyless))
+    out = upsert(fx.stage(table), fx.dw(table), TABLES[table], BATCH, lookup_dims(fx))
     if table == "employees":
         out = backfill_office(resolve_manager(out), fx.dw_offices)
     return out
@@ -54,8 +49,8 @@ def _q(fn, *args):
 def queries() -> dict:
     q = {}
     for t in LOAD_ORDER:
-        q[f"insert_new_{t}"] = _q(insert_new, t)
-        q[f"update_newer_{t}"] = _q(update_newer, t)
+        q[f"insert_new_{t}"] = _q(insert_new_rows, t)
+        q[f"update_newer_{t}"] = _q(update_newer_rows, t)
         q[f"upsert_{t}"] = _q(upsert_table, t)
     for t in ("products", "orders", "orderdetails", "payments"):
         q[f"fk_{t}"] = _q(prepared, t)
