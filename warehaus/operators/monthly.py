@@ -14,27 +14,28 @@ from pyspark.sql import functions as F
 
 from warehaus.batch import Batch
 
+# Fixed values, which must equal the reference's: layouts of the monthly summaries (ids and counts bigint).
 MONTHLY_CUSTOMER_COLUMNS = (
-    ("start_of_the_month_date", "date"), ("dw_customer_id", "int"),
-    ("order_count", "int"), ("order_apd", "int"), ("order_apm", "int"),
+    ("start_of_the_month_date", "date"), ("dw_customer_id", "bigint"),
+    ("order_count", "bigint"), ("order_apd", "bigint"), ("order_apm", "bigint"),
     ("order_cost_amount", "decimal(18,2)"),
-    ("cancelled_order_count", "int"), ("cancelled_order_amount", "decimal(18,2)"),
-    ("cancelled_order_apd", "int"), ("cancelled_order_apm", "int"),
-    ("shipped_order_count", "int"), ("shipped_order_amount", "decimal(18,2)"),
-    ("shipped_order_apd", "int"), ("shipped_order_apm", "int"),
-    ("payment_apd", "int"), ("payment_apm", "int"), ("payment_amount", "decimal(18,2)"),
-    ("products_ordered_qty", "int"), ("products_items_qty", "int"),
+    ("cancelled_order_count", "bigint"), ("cancelled_order_amount", "decimal(18,2)"),
+    ("cancelled_order_apd", "bigint"), ("cancelled_order_apm", "bigint"),
+    ("shipped_order_count", "bigint"), ("shipped_order_amount", "decimal(18,2)"),
+    ("shipped_order_apd", "bigint"), ("shipped_order_apm", "bigint"),
+    ("payment_apd", "bigint"), ("payment_apm", "bigint"), ("payment_amount", "decimal(18,2)"),
+    ("products_ordered_qty", "bigint"), ("products_items_qty", "bigint"),
     ("order_mrp_amount", "decimal(18,2)"),
-    ("new_customer_apd", "int"), ("new_customer_apm", "int"),
-    ("new_customer_paid_apd", "int"), ("new_customer_paid_apm", "int"))
+    ("new_customer_apd", "bigint"), ("new_customer_apm", "bigint"),
+    ("new_customer_paid_apd", "bigint"), ("new_customer_paid_apm", "bigint"))
 
 MONTHLY_PRODUCT_COLUMNS = (
-    ("start_of_the_month_date", "date"), ("dw_product_id", "int"),
-    ("customer_apd", "int"), ("customer_apm", "int"),
+    ("start_of_the_month_date", "date"), ("dw_product_id", "bigint"),
+    ("customer_apd", "bigint"), ("customer_apm", "bigint"),
     ("product_cost_amount", "decimal(18,2)"), ("product_mrp_amount", "decimal(18,2)"),
-    ("cancelled_product_qty", "int"), ("cancelled_cost_amount", "decimal(18,2)"),
+    ("cancelled_product_qty", "bigint"), ("cancelled_cost_amount", "decimal(18,2)"),
     ("cancelled_mrp_amount", "decimal(18,2)"),
-    ("cancelled_order_apd", "int"), ("cancelled_order_apm", "int"))
+    ("cancelled_order_apd", "bigint"), ("cancelled_order_apm", "bigint"))
 
 # Monthly "active days" measures: apm column -> daily measure that must be > 0.
 CUSTOMER_ACTIVE_DAYS = {"cancelled_order_apm": "cancelled_order_count",

@@ -1,39 +1,41 @@
 """Daily customer and product summaries.
 
-The order-line blocks share one orders-to-lines join (see ``_tagged_lines``).
-Each block is an aggregate over its own slice of the facts, padded with
-constant zeros to the common layout and cast to the block types (the casts
-fix DECIMAL(18,2) per block).  The blocks are unioned and re-aggregated per
-(summary_date, entity): a two-level aggregation whose first level combines
-map-side, so a hot customer or the NULL-customer group never sits whole in
-one task.  Distinct counts are grouped on (date, entity, counted id) first.
+Orders are joined to their lines and the products once.  The join's order
+partitioning carries an aggregate to (order, product); each order's rows are
+then dealt to the blocks they belong to (ordered, cancelled, shipped), grouped
+per (date, entity, counted id) and once more per (date, entity).  Distinct
+counts come out as plain counts of the finer level, so no row is expanded per
+distinct expression, and a hot customer or the NULL-customer group combines
+map-side.  A single block filters the orders by its own condition only.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from warehaus.batch import Batch
 
-# Block layouts (name, type) of the daily customer and product summaries.
+# Fixed values, which must equal the reference's: block layouts (name, type) of the daily
+# customer and product summaries.  Ids and counts are wider here (bigint).
 DAILY_CUSTOMER_COLUMNS = (
-    ("summary_date", "date"), ("dw_customer_id", "int"),
-    ("order_count", "int"), ("order_apd", "int"), ("order_cost_amount", "decimal(18,2)"),
-    ("cancelled_order_count", "int"), ("cancelled_order_amount", "decimal(18,2)"),
-    ("cancelled_order_apd", "int"),
-    ("shipped_order_count", "int"), ("shipped_order_amount", "decimal(18,2)"),
-    ("shipped_order_apd", "int"),
-    ("payment_apd", "int"), ("payment_amount", "decimal(18,2)"),
-    ("products_ordered_qty", "int"), ("products_items_qty", "int"),
+    ("summary_date", "date"), ("dw_customer_id", "bigint"),
+    ("order_count", "bigint"), ("order_apd", "bigint"), ("order_cost_amount", "decimal(18,2)"),
+    ("cancelled_order_count", "bigint"), ("cancelled_order_amount", "decimal(18,2)"),
+    ("cancelled_order_apd", "bigint"),
+    ("shipped_order_count", "bigint"), ("shipped_order_amount", "decimal(18,2)"),
+    ("shipped_order_apd", "bigint"),
+    ("payment_apd", "bigint"), ("payment_amount", "decimal(18,2)"),
+    ("products_ordered_qty", "bigint"), ("products_items_qty", "bigint"),
     ("order_mrp_amount", "decimal(18,2)"),
-    ("new_customer_apd", "int"), ("new_customer_paid_apd", "int"))
+    ("new_customer_apd", "bigint"), ("new_customer_paid_apd", "bigint"))
 
 DAILY_PRODUCT_COLUMNS = (
-    ("summary_date", "date"), ("dw_product_id", "int"), ("customer_apd", "int"),
+    ("summary_date", "date"), ("dw_product_id", "bigint"), ("customer_apd", "bigint"),
     ("product_cost_amount", "decimal(18,2)"), ("product_mrp_amount", "decimal(18,2)"),
-    ("cancelled_product_qty", "int"), ("cancelled_cost_amount", "decimal(18,2)"),
-    ("cancelled_mrp_amount", "decimal(18,2)"), ("cancelled_order_apd", "int"))
+    ("cancelled_product_qty", "bigint"), ("cancelled_cost_amount", "decimal(18,2)"),
+    ("cancelled_mrp_amount", "decimal(18,2)"), ("cancelled_order_apd", "bigint"))
 
 # Flags OR-ed across blocks (MAX); every other customer measure is summed.
 CUSTOMER_FLAGS = ("order_apd", "cancelled_order_apd", "shipped_order_apd", "payment_apd",
@@ -43,6 +45,11 @@ AUDIT_COLUMNS = (("dw_create_timestamp", "timestamp_ntz"), ("dw_update_timestamp
                  ("etl_batch_no", "int"), ("etl_batch_date", "date"))
 
 
+def table_schema(layout) -> StructType:
+    """Layout of a stored summary: its columns and the audit columns."""
+    return StructType.fromDDL(", ".join(f"{n} {t}" for n, t in (*layout, *AUDIT_COLUMNS)))
+
+
 def _pad(df: DataFrame, layout, values: dict[str, Column]) -> DataFrame:
     """Project onto a block layout: given values, else constant 0, cast per column."""
     return df.select(*[values.get(n, F.lit(0)).cast(t).alias(n) for n, t in layout])
@@ -52,71 +59,90 @@ def _since(c: str, batch: Batch) -> Column:
     return F.to_date(F.col(c)) >= batch.date_col()
 
 
-def _line_amount(price: str = "priceeach") -> Column:
-    return F.col(price) * F.col("quantityordered")
-
+def order_products(orders, orderdetails, products, order_filter: Column) -> DataFrame:
+    """One row per (order, product) of the chosen orders, with its line totals.
 
-def order_lines(orders: DataFrame, orderdetails: DataFrame, order_filter: Column) -> DataFrame:
-    """Orders (filtered first, so the predicate reaches the scan) joined to their lines."""
+    Orders are filtered first, so the predicate reaches the scan.  ``known``:
+    the product exists; ``mrp`` is null otherwise.  Without ``products`` the
+    lines are not joined to any.
+    """
     o = orders.filter(order_filter).select(
-        "dw_order_id", "dw_customer_id", "orderdate", "cancelleddate", "shippeddate", "status")
+        "dw_order_id", "dw_customer_id", *[F.to_date(c).alias(c) for c in ("orderdate", "cancelleddate", "shippeddate")], "status")
     od = orderdetails.select("dw_order_id", "dw_product_id", "quantityordered", "priceeach")
-    return o.join(od, "dw_order_id")
-
-
-def _with_msrp(lines: DataFrame, products: DataFrame) -> DataFrame:
-    return lines.join(products.select("dw_product_id", "msrp"), "dw_product_id")
-
-
-def _tagged_lines(orders, orderdetails, products, tags: dict[str, tuple[Column, str]]) -> DataFrame:
-    """Order lines joined once, one row per (line, block it belongs to).
-
-    ``tags`` maps block name -> (membership condition, date column).  All
-    blocks read this one join; a block's filter is on the generated tag, which
-    Catalyst cannot push below the generator, so the shuffles feeding the join
-    are identical for every block and executed once (reused exchanges).
-    """
-    any_block = None
-    for cond, _ in tags.values():
-        any_block = cond if any_block is None else any_block | cond
-    lines = order_lines(orders, orderdetails, any_block)
-    if products is not None:
-        lines = _with_msrp(lines, products)
-    entries = F.array(*[F.when(cond, F.struct(F.lit(name).alias("block"),
-                                              F.to_date(date_col).alias("block_date")))
-                        for name, (cond, date_col) in tags.items()])
-    return lines.select("*", F.inline(F.filter(entries, lambda e: e.isNotNull())))
+    if products is None:
+        od = od.withColumns({"msrp": F.lit(None).cast("decimal(18,2)"), "known": F.lit(None).cast("boolean")})
+    else:
+        od = od.join(products.select("dw_product_id", "msrp", F.lit(True).alias("known")), "dw_product_id", "left")
+    amount, mrp = F.col("priceeach") * F.col("quantityordered"), F.col("msrp") * F.col("quantityordered")
+    return o.join(od, "dw_order_id").groupBy(*o.columns, "dw_product_id", "known").agg(
+        F.count("*").alias("lines"), F.count("quantityordered").alias("items"), F.sum("quantityordered").alias("quantity"),
+        F.sum(amount).alias("amount"), F.sum(mrp).alias("mrp"))
 
 
-def _customer_tags(batch: Batch) -> dict[str, tuple[Column, str]]:
-    return {"orders": (_since("orderdate", batch), "orderdate"),
-            "cancelled": (_since("cancelleddate", batch) & (F.col("status") == "Cancelled"),
-                          "cancelleddate"),
-            "shipped": (_since("shippeddate", batch) & (F.col("status") == "Shipped"), "shippeddate")}
+def _conditions(batch: Batch) -> dict[str, Column]:
+    return {"orders": _since("orderdate", batch),
+            "cancelled": _since("cancelleddate", batch) & (F.col("status") == "Cancelled"),
+            "shipped": _since("shippeddate", batch) & (F.col("status") == "Shipped")}
 
 
-def customer_lines(orders, orderdetails, batch: Batch) -> DataFrame:
-    return _tagged_lines(orders, orderdetails, None, _customer_tags(batch))
+def _any(conditions) -> Column:
+    out = None
+    for c in conditions:
+        out = c if out is None else out | c
+    return out
 
 
 # -- daily customer blocks ----------------------------------------------------
-def customer_orders_block(orders, orderdetails, products, batch: Batch,
-                          lines: DataFrame | None = None) -> DataFrame:
-    lines = customer_lines(orders, orderdetails, batch) if lines is None else lines
-    mine = _with_msrp(lines.filter(F.col("block") == "orders"), products)
-    g = mine.groupBy(F.col("block_date").alias("summary_date"), "dw_customer_id").agg(
-        F.count_distinct("dw_order_id").alias("order_count"),
-        F.sum(_line_amount()).alias("order_cost_amount"),
-        F.count_distinct("dw_product_id").alias("products_ordered_qty"),
-        F.count("quantityordered").alias("products_items_qty"),
-        F.sum(_line_amount("msrp")).alias("order_mrp_amount"))
+def _customer_order_blocks(orders, orderdetails, products, batch: Batch, blocks: tuple[str, ...]) -> DataFrame:
+    """The order-based blocks, aggregated together per (date, customer) in the common layout.
+
+    Every (order, product) row gives an entry per block it belongs to, and in
+    the ordered block one more that only names its order; orders and products
+    are then counted on the (date, customer, counted id) level.
+    """
+    wanted = {b: c for b, c in _conditions(batch).items() if b in blocks}
+    rows = order_products(orders, orderdetails, products if "orders" in wanted else None, _any(wanted.values()))
+    counts, money = ("items", "cancelled_lines", "shipped_lines"), ("order_amount", "mrp", "cancelled_amount", "shipped_amount")
+    flags = ("order_apd", "cancelled_apd", "shipped_apd")
+
+    def entry(date: str, kind: str, counted: Column, flag: str, **values: str | None) -> Column:
+        """``kind``: what ``counted`` identifies (product, order, none); a value not given is 0, None is NULL."""
+        def value(n: str) -> Column:
+            return F.lit(0) if n not in values else F.lit(None) if values[n] is None else F.col(values[n])
+
+        return F.struct(
+            F.col(date).alias("summary_date"), F.lit(kind).alias("kind"), counted.cast("bigint").alias("counted"),
+            *[value(n).cast("bigint").alias(n) for n in counts], *[value(n).cast("decimal(38,2)").alias(n) for n in money],
+            *[F.lit(int(f == flag)).cast("bigint").alias(f) for f in flags])
+
+    parts = []
+    if "orders" in wanted:
+        ordered = wanted["orders"] & F.col("known")
+        parts += [F.when(ordered, entry("orderdate", "product", F.col("dw_product_id"), "order_apd",
+                                        items="items", order_amount="amount", mrp="mrp")),
+                  F.when(ordered, entry("orderdate", "order", F.col("dw_order_id"), "order_apd", order_amount=None, mrp=None))]
+    for block in ("cancelled", "shipped"):
+        if block in wanted:
+            parts.append(F.when(wanted[block], entry(
+                f"{block}date", "none", F.lit(None), f"{block}_apd", **{f"{block}_lines": "lines", f"{block}_amount": "amount"})))
+    dealt = rows.select("dw_customer_id", F.inline(F.filter(F.array(*parts), lambda e: e.isNotNull())))
+    totals = [*[F.sum(m).alias(m) for m in (*counts, *money)], *[F.max(m).alias(m) for m in flags]]
+    fine = dealt.groupBy("summary_date", "dw_customer_id", "kind", "counted").agg(*totals)
+    g = fine.groupBy("summary_date", "dw_customer_id").agg(
+        *totals, F.count(F.when(F.col("kind") == "order", F.col("counted"))).alias("orders"),
+        F.count(F.when(F.col("kind") == "product", F.col("counted"))).alias("products"))
     return _pad(g, DAILY_CUSTOMER_COLUMNS, {
         "summary_date": F.col("summary_date"), "dw_customer_id": F.col("dw_customer_id"),
-        "order_count": F.col("order_count"), "order_apd": F.lit(1),
-        "order_cost_amount": F.col("order_cost_amount"),
-        "products_ordered_qty": F.col("products_ordered_qty"),
-        "products_items_qty": F.col("products_items_qty"),
-        "order_mrp_amount": F.col("order_mrp_amount")})
+        "order_count": F.col("orders"), "order_apd": F.col("order_apd"), "order_cost_amount": F.col("order_amount"),
+        "cancelled_order_count": F.col("cancelled_lines"), "cancelled_order_amount": F.col("cancelled_amount"),
+        "cancelled_order_apd": F.col("cancelled_apd"),
+        "shipped_order_count": F.col("shipped_lines"), "shipped_order_amount": F.col("shipped_amount"),
+        "shipped_order_apd": F.col("shipped_apd"), "products_ordered_qty": F.col("products"),
+        "products_items_qty": F.col("items"), "order_mrp_amount": F.col("mrp")})
+
+
+def customer_orders_block(orders, orderdetails, products, batch: Batch) -> DataFrame:
+    return _customer_order_blocks(orders, orderdetails, products, batch, ("orders",))
 
 
 def customer_new_block(customers, batch: Batch) -> DataFrame:
@@ -126,26 +152,12 @@ def customer_new_block(customers, batch: Batch) -> DataFrame:
         "dw_customer_id": F.col("dw_customer_id"), "new_customer_apd": F.lit(1)})
 
 
-def _status_block(lines: DataFrame, block: str) -> DataFrame:
-    mine = lines.filter(F.col("block") == block)
-    g = mine.groupBy(F.col("block_date").alias("summary_date"), "dw_customer_id").agg(
-        F.count("dw_order_id").alias("n"), F.sum(_line_amount()).alias("amount"))
-    return _pad(g, DAILY_CUSTOMER_COLUMNS, {
-        "summary_date": F.col("summary_date"), "dw_customer_id": F.col("dw_customer_id"),
-        f"{block}_order_count": F.col("n"), f"{block}_order_amount": F.col("amount"),
-        f"{block}_order_apd": F.lit(1)})
-
+def customer_cancelled_block(orders, orderdetails, products, batch: Batch) -> DataFrame:
+    return _customer_order_blocks(orders, orderdetails, products, batch, ("cancelled",))
 
-def customer_cancelled_block(orders, orderdetails, batch: Batch,
-                             lines: DataFrame | None = None) -> DataFrame:
-    lines = customer_lines(orders, orderdetails, batch) if lines is None else lines
-    return _status_block(lines, "cancelled")
 
-
-def customer_shipped_block(orders, orderdetails, batch: Batch,
-                           lines: DataFrame | None = None) -> DataFrame:
-    lines = customer_lines(orders, orderdetails, batch) if lines is None else lines
-    return _status_block(lines, "shipped")
+def customer_shipped_block(orders, orderdetails, products, batch: Batch) -> DataFrame:
+    return _customer_order_blocks(orders, orderdetails, products, batch, ("shipped",))
 
 
 def customer_payments_block(payments, batch: Batch) -> DataFrame:
@@ -174,12 +186,9 @@ def combine_customer_blocks(blocks: DataFrame, batch: Batch) -> DataFrame:
 
 def daily_customer_blocks(orders, orderdetails, products, customers, payments,
                           batch: Batch) -> DataFrame:
-    lines = customer_lines(orders, orderdetails, batch)
-    return (customer_orders_block(orders, orderdetails, products, batch, lines)
+    return (_customer_order_blocks(orders, orderdetails, products, batch, ("orders", "cancelled", "shipped"))
             .unionByName(customer_new_block(customers, batch))
-            .unionByName(customer_cancelled_block(orders, orderdetails, batch, lines))
-            .unionByName(customer_payments_block(payments, batch))
-            .unionByName(customer_shipped_block(orders, orderdetails, batch, lines)))
+            .unionByName(customer_payments_block(payments, batch)))
 
 
 def daily_customer_summary(orders, orderdetails, products, customers, payments,
@@ -189,41 +198,45 @@ def daily_customer_summary(orders, orderdetails, products, customers, payments,
 
 
 # -- daily product blocks -------------------------------------------------------
-def product_lines(orders, orderdetails, products, batch: Batch) -> DataFrame:
-    cancelled = (F.lower(F.trim(F.col("status"))) == "cancelled") & _since("cancelleddate", batch)
-    return _tagged_lines(orders, orderdetails, products,
-                         {"orders": (_since("orderdate", batch), "orderdate"),
-                          "cancelled": (cancelled, "cancelleddate")})
-
-
-def product_orders_block(orders, orderdetails, products, batch: Batch,
-                         lines: DataFrame | None = None) -> DataFrame:
-    lines = product_lines(orders, orderdetails, products, batch) if lines is None else lines
-    g = lines.filter(F.col("block") == "orders").groupBy(
-        F.col("block_date").alias("summary_date"), "dw_product_id").agg(
-        F.count_distinct("dw_customer_id").alias("customer_apd"),
-        F.sum(_line_amount()).alias("product_cost_amount"),
-        F.sum(_line_amount("msrp")).alias("product_mrp_amount"))
-    return _pad(g, DAILY_PRODUCT_COLUMNS, {n: F.col(n) for n in g.columns})
-
-
-def product_cancelled_block(orders, orderdetails, products, batch: Batch,
-                            lines: DataFrame | None = None) -> DataFrame:
-    lines = product_lines(orders, orderdetails, products, batch) if lines is None else lines
-    g = lines.filter(F.col("block") == "cancelled").groupBy(
-        F.col("block_date").alias("summary_date"), "dw_product_id").agg(
-        F.sum("quantityordered").alias("cancelled_product_qty"),
-        F.sum(_line_amount()).alias("cancelled_cost_amount"),
-        F.sum(_line_amount("msrp")).alias("cancelled_mrp_amount"),
-        F.count_distinct("dw_order_id").alias("cancelled_order_apd"))
-    return _pad(g, DAILY_PRODUCT_COLUMNS, {n: F.col(n) for n in g.columns})
+def _product_blocks(orders, orderdetails, products, batch: Batch, blocks: tuple[str, ...]) -> DataFrame:
+    """Both product blocks, aggregated together per (date, product) in the common layout."""
+    conditions = {"orders": _since("orderdate", batch),
+                  "cancelled": (F.lower(F.trim(F.col("status"))) == "cancelled") & _since("cancelleddate", batch)}
+    wanted = {b: c for b, c in conditions.items() if b in blocks}
+    rows = order_products(orders, orderdetails, products, _any(wanted.values())).where("known")
+    zero = F.lit(0).cast("decimal(38,2)")
+
+    def entry(date: str, mine: bool) -> Column:
+        """``mine``: an ordered row, else a cancelled one; the counted id is the customer or the order."""
+        one, two = F.lit(mine), F.lit(not mine)
+        pick = lambda use, c: F.when(use, F.col(c).cast("decimal(38,2)")).otherwise(zero)
+        return F.struct(F.col(date).alias("summary_date"), one.alias("ordered"),
+                        F.when(one, F.col("dw_customer_id")).otherwise(F.col("dw_order_id")).alias("counted"),
+                        pick(one, "amount").alias("cost"), pick(one, "mrp").alias("mrp"),
+                        F.when(two, F.col("quantity")).otherwise(F.lit(0)).alias("cancelled_qty"),
+                        pick(two, "amount").alias("cancelled_cost"), pick(two, "mrp").alias("cancelled_mrp"))
+
+    parts = [F.when(c, entry("orderdate" if b == "orders" else "cancelleddate", b == "orders")) for b, c in wanted.items()]
+    dealt = rows.select("dw_product_id", F.inline(F.filter(F.array(*parts), lambda e: e.isNotNull())))
+    measures = ("cost", "mrp", "cancelled_qty", "cancelled_cost", "cancelled_mrp")
+    fine = dealt.groupBy("summary_date", "dw_product_id", "ordered", "counted").agg(*[F.sum(m).alias(m) for m in measures])
+    g = fine.groupBy("summary_date", "dw_product_id").agg(
+        *[F.sum(m).alias(m) for m in measures], F.count(F.when(F.col("ordered"), F.col("counted"))).alias("customers"),
+        F.count(F.when(~F.col("ordered"), F.col("counted"))).alias("cancelled_orders"))
+    return _pad(g, DAILY_PRODUCT_COLUMNS, {
+        "summary_date": F.col("summary_date"), "dw_product_id": F.col("dw_product_id"), "customer_apd": F.col("customers"),
+        "product_cost_amount": F.col("cost"), "product_mrp_amount": F.col("mrp"),
+        "cancelled_product_qty": F.col("cancelled_qty"), "cancelled_cost_amount": F.col("cancelled_cost"),
+        "cancelled_mrp_amount": F.col("cancelled_mrp"), "cancelled_order_apd": F.col("cancelled_orders")})
+
+
+def product_orders_block(orders, orderdetails, products, batch: Batch) -> DataFrame:
+    return _product_blocks(orders, orderdetails, products, batch, ("orders",))
+
+
+def product_cancelled_block(orders, orderdetails, products, batch: Batch) -> DataFrame:
+    return _product_blocks(orders, orderdetails, products, batch, ("cancelled",))
 
 
 def daily_product_summary(orders, orderdetails, products, batch: Batch) -> DataFrame:
-    lines = product_lines(orders, orderdetails, products, batch)
-    blocks = (product_orders_block(orders, orderdetails, products, batch, lines)
-              .unionByName(product_cancelled_block(orders, orderdetails, products, batch, lines)))
-    measures = [n for n, _ in DAILY_PRODUCT_COLUMNS[2:]]
-    g = blocks.groupBy("summary_date", "dw_product_id").agg(*[F.sum(m).alias(m) for m in measures])
-    return _stamp(_pad(g, DAILY_PRODUCT_COLUMNS, {n: F.col(n) for n, _ in DAILY_PRODUCT_COLUMNS}),
-                  batch)
+    return _stamp(_product_blocks(orders, orderdetails, products, batch, ("orders", "cancelled")), batch)
