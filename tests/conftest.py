@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from warehaus.session import build_session  # noqa: E402
+from warehaus.session import build_session, clean_scratch  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
 
@@ -14,6 +14,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     s = build_session("local[*]", shuffle_partitions=8, app_name="warehaus-tests")
     yield s
+    clean_scratch(s)
     s.stop()
 
 

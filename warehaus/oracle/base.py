@@ -57,7 +57,8 @@ class CteSet:
         words = set(re.findall(r"[A-Za-z_][A-Za-z0-9_]*", sql))
         return [n for n in self.defs if n in words]
 
-    def build(self, body: str) -> str:
+    def build(self, body: str, materialized: bool = False) -> str:
+        how = "AS MATERIALIZED" if materialized else "AS"
         order: list[str] = []
         seen: set[str] = set()
 
@@ -74,5 +75,5 @@ class CteSet:
             visit(d)
         if not order:
             return body.strip()
-        ctes = ",\n".join(f"{n} AS (\n{self.defs[n]}\n)" for n in order)
+        ctes = ",\n".join(f"{n} {how} (\n{self.defs[n]}\n)" for n in order)
         return f"WITH {ctes}\n{body.strip()}"

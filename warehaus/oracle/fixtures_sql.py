@@ -166,7 +166,7 @@ select o_custkey as customernumber, concat('CHK', cast(o_orderkey as varchar)) a
   cast(o_orderdate as timestamp) as create_timestamp,
   cast(cast(o_orderdate as date) + cast(case when o_orderkey % 9 = 0 then 5 else 0 end as int)
        as timestamp) as update_timestamp
-from orders where o_orderkey % 3 = 0""",
+from orders""",
        "customernumber checknumber paymentdate amount create_timestamp update_timestamp")
 
 _dw("payments", """
@@ -188,14 +188,14 @@ from wh_payments where src_customernumber % 10 <> 8""",
 def _history(name: str, dim: str, id_col: str, key: str, tracked: str, d_active: int,
              d_closed: int) -> None:
     inner = f"""
-select {id_col}, case when {key} % 50 = 0 then null
-    when {key} % 4 = 0 then cast({tracked} - {d_active} as decimal(18,2)) else {tracked} end as {tracked},
+select {id_col}, case when cast({key} as bigint) % 50 = 0 then null
+    when cast({key} as bigint) % 4 = 0 then cast({tracked} - {d_active} as decimal(18,2)) else {tracked} end as {tracked},
   date '1998-01-01' as effective_from_date, cast(null as date) as effective_to_date,
   1 as dw_active_record_ind
-from {dim} where {key} % 7 <> 6
+from {dim} where cast({key} as bigint) % 7 <> 6
 union all
 select {id_col}, cast({tracked} - {d_closed} as decimal(18,2)), date '1997-01-01', date '1997-12-31', 0
-from {dim} where {key} % 5 = 0"""
+from {dim} where cast({key} as bigint) % 5 = 0"""
     CTES.add(name, conform_sql(inner, history_schema(id_col, tracked),
                                {id_col, tracked, "effective_from_date", "effective_to_date",
                                 "dw_active_record_ind"}))

@@ -6,7 +6,8 @@ from warehaus.oracle.base import sql_type
 from warehaus.oracle.fixtures_sql import CTES
 from warehaus.schemas import history_schema
 
-D, NO, TS = "1998-06-01", 7, "1998-06-02 00:00:00"
+# (number, date, run timestamp)
+B7 = (7, "1998-06-01", "1998-06-02 00:00:00")
 
 
 def _typed(id_col: str, tracked: str, exprs: dict[str, str]) -> str:
@@ -14,26 +15,28 @@ def _typed(id_col: str, tracked: str, exprs: dict[str, str]) -> str:
                      for f in history_schema(id_col, tracked).fields)
 
 
-def close_sql(hist: str, dim: str, id_col: str, tracked: str) -> str:
+def close_sql(hist: str, dim: str, id_col: str, tracked: str, batch=B7) -> str:
+    no, day, run = batch
     changed = (f"(h.dw_active_record_ind = 1 AND d.{id_col} IS NOT NULL "
                f"AND h.{tracked} <> d.{tracked})")
     cols = {f.name: f"h.{f.name}" for f in history_schema(id_col, tracked).fields}
     cols.update(
-        effective_to_date=f"CASE WHEN {changed} THEN DATE '{D}' - 1 ELSE h.effective_to_date END",
+        effective_to_date=f"CASE WHEN {changed} THEN DATE '{day}' - 1 ELSE h.effective_to_date END",
         dw_active_record_ind=f"CASE WHEN {changed} THEN 0 ELSE h.dw_active_record_ind END",
-        dw_update_timestamp=f"CASE WHEN {changed} THEN TIMESTAMP '{TS}' ELSE h.dw_update_timestamp END",
-        update_etl_batch_no=f"CASE WHEN {changed} THEN {NO} ELSE h.update_etl_batch_no END",
-        update_etl_batch_date=f"CASE WHEN {changed} THEN DATE '{D}' ELSE h.update_etl_batch_date END")
+        dw_update_timestamp=f"CASE WHEN {changed} THEN TIMESTAMP '{run}' ELSE h.dw_update_timestamp END",
+        update_etl_batch_no=f"CASE WHEN {changed} THEN {no} ELSE h.update_etl_batch_no END",
+        update_etl_batch_date=f"CASE WHEN {changed} THEN DATE '{day}' ELSE h.update_etl_batch_date END")
     return (f"SELECT {_typed(id_col, tracked, cols)} FROM {hist} AS h "
             f"LEFT JOIN {dim} AS d ON h.{id_col} = d.{id_col}")
 
 
-def open_sql(closed: str, dim: str, id_col: str, tracked: str) -> str:
+def open_sql(closed: str, dim: str, id_col: str, tracked: str, batch=B7) -> str:
     """Insert step as written for a warehouse that has already run the close step."""
-    cols = {id_col: f"d.{id_col}", tracked: f"d.{tracked}", "effective_from_date": f"DATE '{D}'",
-            "dw_active_record_ind": "1", "dw_create_timestamp": f"TIMESTAMP '{TS}'",
-            "dw_update_timestamp": f"TIMESTAMP '{TS}'", "create_etl_batch_no": str(NO),
-            "create_etl_batch_date": f"DATE '{D}'"}
+    no, day, run = batch
+    cols = {id_col: f"d.{id_col}", tracked: f"d.{tracked}", "effective_from_date": f"DATE '{day}'",
+            "dw_active_record_ind": "1", "dw_create_timestamp": f"TIMESTAMP '{run}'",
+            "dw_update_timestamp": f"TIMESTAMP '{run}'", "create_etl_batch_no": str(no),
+            "create_etl_batch_date": f"DATE '{day}'"}
     return (f"SELECT {_typed(id_col, tracked, cols)} FROM {dim} AS d "
             f"LEFT JOIN (SELECT {id_col}, {tracked} FROM {closed} WHERE dw_active_record_ind = 1) AS h "
             f"ON d.{id_col} = h.{id_col} "

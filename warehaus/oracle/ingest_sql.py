@@ -29,16 +29,16 @@ def extract_sql(t: str) -> str:
     return f"SELECT {', '.join(cols)} FROM stg_{t}"
 
 
-def stage_load_sql(t: str) -> str:
+def stage_load_sql(t: str, source: str | None = None) -> str:
     spec = TABLES[t]
     cols = []
     for f in spec.stage.fields:
         if sql_type(f.dataType) == "VARCHAR":
-            e = stage_text(clean_text_sql(f.name), spec.widths.get(f.name))
+            e = stage_text(clean_text_sql(f.name))
         else:
             e = f.name
         cols.append(f"CAST({e} AS {sql_type(f.dataType)}) AS {f.name}")
-    return f"SELECT {', '.join(cols)} FROM stg_{t}"
+    return f"SELECT {', '.join(cols)} FROM {source or 'stg_' + t}"
 
 
 def queries() -> dict[str, str]:
@@ -75,5 +75,6 @@ def queries() -> dict[str, str]:
         "SELECT batch_date, CASE WHEN batch_date = '2001-01-01' THEN 'CM_20050609' "
         "WHEN batch_date IN ('2005-06-10', '2005-06-11', '2005-06-12', '2005-06-13', '2005-06-14') "
         "THEN 'CM_' || replace(batch_date, '-', '') END AS snapshot "
-        "FROM (SELECT DISTINCT strftime(o_orderdate, '%Y-%m-%d') AS batch_date FROM orders) AS d")
+        "FROM (SELECT DISTINCT CASE WHEN o_orderkey % 7 = 6 THEN '2001-01-01' "
+        "ELSE strftime(DATE '2005-06-10' + CAST(o_orderkey % 7 AS INTEGER), '%Y-%m-%d') END AS batch_date FROM orders) AS d")
     return {k: CTES.build(v) for k, v in q.items()}

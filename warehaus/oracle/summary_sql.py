@@ -4,9 +4,30 @@ from __future__ import annotations
 
 from warehaus.oracle.base import pad_sql
 from warehaus.oracle.fixtures_sql import CTES
-from warehaus.operators.monthly import MONTHLY_CUSTOMER_COLUMNS, MONTHLY_PRODUCT_COLUMNS
-from warehaus.operators.summary import (CUSTOMER_FLAGS, DAILY_CUSTOMER_COLUMNS,
-                                        DAILY_PRODUCT_COLUMNS)
+# Fixed values, stated here on their own: the summary layouts.  n: bigint, d: decimal(18,2).
+def _columns(id_col: str, first: str, text: str) -> tuple[tuple[str, str], ...]:
+    types = {"n": "bigint", "d": "decimal(18,2)"}
+    return ((first, "date"), (id_col, "bigint"), *[(x.split(":")[0], types[x.split(":")[1]]) for x in text.split()])
+
+
+DAILY_CUSTOMER_COLUMNS = _columns("dw_customer_id", "summary_date", """
+order_count:n order_apd:n order_cost_amount:d cancelled_order_count:n cancelled_order_amount:d cancelled_order_apd:n
+shipped_order_count:n shipped_order_amount:d shipped_order_apd:n payment_apd:n payment_amount:d products_ordered_qty:n
+products_items_qty:n order_mrp_amount:d new_customer_apd:n new_customer_paid_apd:n""")
+DAILY_PRODUCT_COLUMNS = _columns("dw_product_id", "summary_date", """
+customer_apd:n product_cost_amount:d product_mrp_amount:d cancelled_product_qty:n cancelled_cost_amount:d
+cancelled_mrp_amount:d cancelled_order_apd:n""")
+MONTHLY_CUSTOMER_COLUMNS = _columns("dw_customer_id", "start_of_the_month_date", """
+order_count:n order_apd:n order_apm:n order_cost_amount:d cancelled_order_count:n cancelled_order_amount:d
+cancelled_order_apd:n cancelled_order_apm:n shipped_order_count:n shipped_order_amount:d shipped_order_apd:n
+shipped_order_apm:n payment_apd:n payment_apm:n payment_amount:d products_ordered_qty:n products_items_qty:n
+order_mrp_amount:d new_customer_apd:n new_customer_apm:n new_customer_paid_apd:n new_customer_paid_apm:n""")
+MONTHLY_PRODUCT_COLUMNS = _columns("dw_product_id", "start_of_the_month_date", """
+customer_apd:n customer_apm:n product_cost_amount:d product_mrp_amount:d cancelled_product_qty:n cancelled_cost_amount:d
+cancelled_mrp_amount:d cancelled_order_apd:n cancelled_order_apm:n""")
+# Flags OR-ed across blocks; every other customer measure is summed.
+CUSTOMER_FLAGS = ("order_apd", "cancelled_order_apd", "shipped_order_apd", "payment_apd", "new_customer_apd",
+                  "new_customer_paid_apd")
 
 
 def batch_stamp(no: int, run_ts: str, date: str) -> str:
@@ -19,61 +40,76 @@ B7 = (7, "1998-06-02 00:00:00", "1998-06-01")
 B6 = (6, "1998-05-02 00:00:00", "1998-05-01")
 
 
-def _lines(cond: str) -> str:
-    return (f"FROM wh_orders o JOIN wh_orderdetails od ON od.dw_order_id = o.dw_order_id "
-            f"WHERE {cond}")
-
-
-def customer_blocks(d: str) -> dict[str, str]:
-    L = DAILY_CUSTOMER_COLUMNS
-    orders = (f"SELECT {pad_sql(L, {'summary_date': 'CAST(o.orderdate AS DATE)', 'dw_customer_id': 'o.dw_customer_id', 'order_count': 'COUNT(DISTINCT o.dw_order_id)', 'order_apd': '1', 'order_cost_amount': 'SUM(od.priceeach * od.quantityordered)', 'products_ordered_qty': 'COUNT(DISTINCT od.dw_product_id)', 'products_items_qty': 'COUNT(od.quantityordered)', 'order_mrp_amount': 'SUM(p.msrp * od.quantityordered)'})} "
-              f"FROM wh_orders o JOIN wh_orderdetails od ON od.dw_order_id = o.dw_order_id "
-              f"JOIN dw_products p ON p.dw_product_id = od.dw_product_id "
-              f"WHERE CAST(o.orderdate AS DATE) >= DATE '{d}' "
-              f"GROUP BY CAST(o.orderdate AS DATE), o.dw_customer_id")
-    new = (f"SELECT {pad_sql(L, {'summary_date': 'CAST(c.src_create_timestamp AS DATE)', 'dw_customer_id': 'c.dw_customer_id', 'new_customer_apd': '1'})} "
-           f"FROM dw_customers c WHERE CAST(c.src_create_timestamp AS DATE) >= DATE '{d}'")
-
-    def status(col: str, st: str, pre: str) -> str:
-        return (f"SELECT {pad_sql(L, {'summary_date': f'CAST(o.{col} AS DATE)', 'dw_customer_id': 'o.dw_customer_id', f'{pre}_order_count': 'COUNT(o.dw_order_id)', f'{pre}_order_amount': 'SUM(od.priceeach * od.quantityordered)', f'{pre}_order_apd': '1'})} "
-                + _lines(f"CAST(o.{col} AS DATE) >= DATE '{d}' AND o.status = '{st}'")
-                + f" GROUP BY CAST(o.{col} AS DATE), o.dw_customer_id")
-    pay = (f"SELECT {pad_sql(L, {'summary_date': 'CAST(p.paymentdate AS DATE)', 'dw_customer_id': 'p.dw_customer_id', 'payment_apd': '1', 'payment_amount': 'SUM(p.amount)', 'new_customer_paid_apd': '1'})} "
-           f"FROM wh_payments p WHERE CAST(p.paymentdate AS DATE) >= DATE '{d}' "
-           f"GROUP BY CAST(p.paymentdate AS DATE), p.dw_customer_id")
-    return {"orders": orders, "new": new, "cancelled": status("cancelleddate", "Cancelled", "cancelled"),
-            "payments": pay, "shipped": status("shippeddate", "Shipped", "shipped")}
-
-
-def daily_customer_final(d: str, stamp) -> str:
-    blocks = "\nUNION ALL\n".join(customer_blocks(d).values())
-    L = DAILY_CUSTOMER_COLUMNS
-    aggs = {n: (f"MAX({n})" if n in CUSTOMER_FLAGS else f"SUM({n})") for n, _ in L[2:]}
+# The tables a daily summary reads.
+WH = {"orders": "wh_orders", "orderdetails": "wh_orderdetails", "products": "dw_products", "customers": "dw_customers",
+      "payments": "wh_payments"}
+
+
+def _tagged(tables: dict[str, str], d: str, cancelled: str) -> str:
+    """Every line with the days it counts for, if from ``d`` on: ordered, cancelled, shipped."""
+    return (f"SELECT l.dw_order_id, l.dw_product_id, l.quantityordered, l.priceeach * l.quantityordered AS paid, "
+            f"a.msrp * l.quantityordered AS listed, a.dw_product_id IS NOT NULL AS known, h.dw_customer_id, "
+            f"CASE WHEN CAST(h.orderdate AS DATE) >= DATE '{d}' THEN CAST(h.orderdate AS DATE) END AS ordered_on, "
+            f"CASE WHEN CAST(h.cancelleddate AS DATE) >= DATE '{d}' AND {cancelled} THEN CAST(h.cancelleddate AS DATE) END AS cancelled_on, "
+            f"CASE WHEN CAST(h.shippeddate AS DATE) >= DATE '{d}' AND h.status = 'Shipped' THEN CAST(h.shippeddate AS DATE) END AS shipped_on "
+            f"FROM {tables['orderdetails']} l JOIN {tables['orders']} h USING (dw_order_id) "
+            f"LEFT JOIN {tables['products']} a ON a.dw_product_id = l.dw_product_id")
+
+
+def customer_blocks(d: str, tables: dict[str, str] = WH) -> dict[str, str]:
+    layout = DAILY_CUSTOMER_COLUMNS
+    tagged = _tagged(tables, d, "h.status = 'Cancelled'")
+
+    def lines(day: str, only: str, **values: str) -> str:
+        row = pad_sql(layout, {"summary_date": day, "dw_customer_id": "dw_customer_id", **values})
+        return f"SELECT {row} FROM ({tagged}) AS t WHERE {day} IS NOT NULL AND {only} GROUP BY {day}, dw_customer_id"
+
+    new = pad_sql(layout, {"summary_date": "CAST(src_create_timestamp AS DATE)", "dw_customer_id": "dw_customer_id",
+                           "new_customer_apd": "1"})
+    paid = pad_sql(layout, {"summary_date": "CAST(paymentdate AS DATE)", "dw_customer_id": "dw_customer_id", "payment_apd": "1",
+                            "payment_amount": "SUM(amount)", "new_customer_paid_apd": "1"})
+    return {
+        "orders": lines("ordered_on", "known", order_count="COUNT(DISTINCT dw_order_id)", order_apd="1", order_cost_amount="SUM(paid)",
+                        products_ordered_qty="COUNT(DISTINCT dw_product_id)", products_items_qty="COUNT(quantityordered)",
+                        order_mrp_amount="SUM(listed)"),
+        "new": f"SELECT {new} FROM {tables['customers']} WHERE CAST(src_create_timestamp AS DATE) >= DATE '{d}'",
+        "cancelled": lines("cancelled_on", "true", cancelled_order_count="COUNT(dw_order_id)", cancelled_order_amount="SUM(paid)",
+                           cancelled_order_apd="1"),
+        "payments": f"SELECT {paid} FROM {tables['payments']} WHERE CAST(paymentdate AS DATE) >= DATE '{d}' "
+                    f"GROUP BY CAST(paymentdate AS DATE), dw_customer_id",
+        "shipped": lines("shipped_on", "true", shipped_order_count="COUNT(dw_order_id)", shipped_order_amount="SUM(paid)",
+                         shipped_order_apd="1")}
+
+
+def daily_customer_final(d: str, stamp, tables: dict[str, str] = WH) -> str:
+    blocks = "\nUNION ALL\n".join(customer_blocks(d, tables).values())
+    layout = DAILY_CUSTOMER_COLUMNS
+    aggs = {n: (f"MAX({n})" if n in CUSTOMER_FLAGS else f"SUM({n})") for n, _ in layout[2:]}
     aggs.update(summary_date="summary_date", dw_customer_id="dw_customer_id")
-    return (f"SELECT {pad_sql(L, aggs)}, {batch_stamp(*stamp)} FROM (\n{blocks}\n) AS blocks "
+    return (f"SELECT {pad_sql(layout, aggs)}, {batch_stamp(*stamp)} FROM (\n{blocks}\n) AS blocks "
             f"GROUP BY summary_date, dw_customer_id")
 
 
-def product_blocks(d: str) -> dict[str, str]:
-    L = DAILY_PRODUCT_COLUMNS
-    join = ("FROM wh_orders o JOIN wh_orderdetails od ON od.dw_order_id = o.dw_order_id "
-            "JOIN dw_products p ON p.dw_product_id = od.dw_product_id ")
-    orders = (f"SELECT {pad_sql(L, {'summary_date': 'CAST(o.orderdate AS DATE)', 'dw_product_id': 'od.dw_product_id', 'customer_apd': 'COUNT(DISTINCT o.dw_customer_id)', 'product_cost_amount': 'SUM(od.priceeach * od.quantityordered)', 'product_mrp_amount': 'SUM(p.msrp * od.quantityordered)'})} "
-              + join + f"WHERE CAST(o.orderdate AS DATE) >= DATE '{d}' "
-              f"GROUP BY CAST(o.orderdate AS DATE), od.dw_product_id")
-    cancelled = (f"SELECT {pad_sql(L, {'summary_date': 'CAST(o.cancelleddate AS DATE)', 'dw_product_id': 'od.dw_product_id', 'cancelled_product_qty': 'SUM(od.quantityordered)', 'cancelled_cost_amount': 'SUM(od.priceeach * od.quantityordered)', 'cancelled_mrp_amount': 'SUM(p.msrp * od.quantityordered)', 'cancelled_order_apd': 'COUNT(DISTINCT o.dw_order_id)'})} "
-                 + join + f"WHERE lower(trim(o.status)) = 'cancelled' "
-                 f"AND CAST(o.cancelleddate AS DATE) >= DATE '{d}' "
-                 f"GROUP BY CAST(o.cancelleddate AS DATE), od.dw_product_id")
-    return {"orders": orders, "cancelled": cancelled}
-
-
-def daily_product_final(d: str, stamp) -> str:
-    blocks = "\nUNION ALL\n".join(product_blocks(d).values())
-    L = DAILY_PRODUCT_COLUMNS
-    aggs = {n: f"SUM({n})" for n, _ in L[2:]}
+def product_blocks(d: str, tables: dict[str, str] = WH) -> dict[str, str]:
+    layout = DAILY_PRODUCT_COLUMNS
+    tagged = _tagged(tables, d, "lower(trim(h.status)) = 'cancelled'")
+
+    def lines(day: str, **values: str) -> str:
+        row = pad_sql(layout, {"summary_date": day, "dw_product_id": "dw_product_id", **values})
+        return f"SELECT {row} FROM ({tagged}) AS t WHERE {day} IS NOT NULL AND known GROUP BY {day}, dw_product_id"
+
+    return {"orders": lines("ordered_on", customer_apd="COUNT(DISTINCT dw_customer_id)", product_cost_amount="SUM(paid)",
+                            product_mrp_amount="SUM(listed)"),
+            "cancelled": lines("cancelled_on", cancelled_product_qty="SUM(quantityordered)", cancelled_cost_amount="SUM(paid)",
+                               cancelled_mrp_amount="SUM(listed)", cancelled_order_apd="COUNT(DISTINCT dw_order_id)")}
+
+
+def daily_product_final(d: str, stamp, tables: dict[str, str] = WH) -> str:
+    blocks = "\nUNION ALL\n".join(product_blocks(d, tables).values())
+    layout = DAILY_PRODUCT_COLUMNS
+    aggs = {n: f"SUM({n})" for n, _ in layout[2:]}
     aggs.update(summary_date="summary_date", dw_product_id="dw_product_id")
-    return (f"SELECT {pad_sql(L, aggs)}, {batch_stamp(*stamp)} FROM (\n{blocks}\n) AS blocks "
+    return (f"SELECT {pad_sql(layout, aggs)}, {batch_stamp(*stamp)} FROM (\n{blocks}\n) AS blocks "
             f"GROUP BY summary_date, dw_product_id")
 
 

@@ -4,10 +4,23 @@ from __future__ import annotations
 
 from warehaus.oracle.base import sql_type
 from warehaus.oracle.fixtures_sql import CTES
-from warehaus.oracle.ingest_sql import stage_load_sql
 from warehaus.schemas import LOAD_ORDER, TABLES, TableSpec
 
-BATCH_NO, BATCH_DATE, RUN_TS = 7, "1998-06-01", "1998-06-02 00:00:00"
+# (number, date, run timestamp)
+B7 = (7, "1998-06-01", "1998-06-02 00:00:00")
+# Fixed values, stated here on their own: the columns an update of an existing row sets.
+UPDATED = {
+    "offices": "city phone addressline1 addressline2 state country postalcode territory",
+    "employees": "lastname firstname extension email officecode reportsto jobtitle",
+    "productlines": "textdescription htmldescription image",
+    "products": "productname productline productscale productvendor productdescription quantityinstock buyprice msrp "
+                "dw_product_line_id",
+    "customers": "customername contactlastname contactfirstname phone addressline1 addressline2 city state postalcode "
+                 "country salesrepemployeenumber creditlimit",
+    "orders": "dw_customer_id orderdate requireddate shippeddate status comments cancelleddate src_customernumber",
+    "orderdetails": "quantityordered priceeach orderlinenumber",
+    "payments": "paymentdate amount",
+}
 LOOKUP_SOURCE = {"productlines": "dw_productlines", "customers": "dw_customers",
                  "orders": "dw_orders", "products": "dw_products"}
 
@@ -28,34 +41,36 @@ def _typed(spec: TableSpec, exprs: dict[str, str]) -> str:
                      for f in spec.dw_schema.fields)
 
 
-def insert_sql(spec: TableSpec, prep: str | None = None) -> str:
-    prep = prep or f"prep_{spec.name}"
+def insert_sql(spec: TableSpec, prep: str | None = None, base: str | None = None, batch=B7) -> str:
+    prep, base = prep or f"prep_{spec.name}", base or f"dw_{spec.name}"
+    no, day, run = batch
     on = " AND ".join(f"d.{k} = p.{k}" for k in spec.dw_key)
     exprs = {c: f"p.{c}" for c in spec.dw_columns if c not in ("dw_create_timestamp",)}
-    exprs.update(dw_create_timestamp=f"TIMESTAMP '{RUN_TS}'", dw_update_timestamp=f"TIMESTAMP '{RUN_TS}'",
-                 etl_batch_no=str(BATCH_NO), etl_batch_date=f"DATE '{BATCH_DATE}'")
+    exprs.update(dw_create_timestamp=f"TIMESTAMP '{run}'", dw_update_timestamp=f"TIMESTAMP '{run}'",
+                 etl_batch_no=str(no), etl_batch_date=f"DATE '{day}'")
     for ph in spec.placeholders:
         exprs[ph] = "NULL"
     if spec.surrogate:
-        order = ", ".join(f"p.{k}" for k in spec.dw_key)
-        exprs[spec.surrogate] = (f"(SELECT coalesce(max({spec.surrogate}), 0) FROM dw_{spec.name}) "
+        order = ", ".join(f"p.{k} NULLS FIRST" for k in spec.dw_key)
+        exprs[spec.surrogate] = (f"(SELECT coalesce(max({spec.surrogate}), 0) FROM {base}) "
                                  f"+ row_number() OVER (ORDER BY {order})")
     return (f"SELECT {_typed(spec, exprs)} FROM {prep} AS p "
-            f"WHERE NOT EXISTS (SELECT 1 FROM dw_{spec.name} AS d WHERE {on})")
+            f"WHERE NOT EXISTS (SELECT 1 FROM {base} AS d WHERE {on})")
 
 
-def update_sql(spec: TableSpec, only_changed: bool, prep: str | None = None) -> str:
-    prep = prep or f"prep_{spec.name}"
+def update_sql(spec: TableSpec, only_changed: bool, prep: str | None = None, base: str | None = None, batch=B7) -> str:
+    prep, base = prep or f"prep_{spec.name}", base or f"dw_{spec.name}"
+    no, day, run = batch
     on = " AND ".join(f"d.{k} = p.{k}" for k in spec.dw_key)
     newer = "(p.hit_flag = 1 AND d.src_update_timestamp < p.src_update_timestamp)"
     exprs = {c: f"d.{c}" for c in spec.dw_columns}
-    for c in (*spec.update_columns, "src_update_timestamp"):
+    for c in (*UPDATED[spec.name].split(), "src_update_timestamp"):
         exprs[c] = f"CASE WHEN {newer} THEN p.{c} ELSE d.{c} END"
     exprs.update(
-        dw_update_timestamp=f"CASE WHEN {newer} THEN TIMESTAMP '{RUN_TS}' ELSE d.dw_update_timestamp END",
-        etl_batch_no=f"CASE WHEN {newer} THEN {BATCH_NO} ELSE d.etl_batch_no END",
-        etl_batch_date=f"CASE WHEN {newer} THEN DATE '{BATCH_DATE}' ELSE d.etl_batch_date END")
-    sql = (f"SELECT {_typed(spec, exprs)} FROM dw_{spec.name} AS d "
+        dw_update_timestamp=f"CASE WHEN {newer} THEN TIMESTAMP '{run}' ELSE d.dw_update_timestamp END",
+        etl_batch_no=f"CASE WHEN {newer} THEN {no} ELSE d.etl_batch_no END",
+        etl_batch_date=f"CASE WHEN {newer} THEN DATE '{day}' ELSE d.etl_batch_date END")
+    sql = (f"SELECT {_typed(spec, exprs)} FROM {base} AS d "
            f"LEFT JOIN (SELECT *, 1 AS hit_flag FROM {prep}) AS p ON {on}")
     if only_changed:
         sql += f" WHERE {newer}"
@@ -82,26 +97,8 @@ CTES.add("upserted_employees", f"{update_sql(TABLES['employees'], False)} "
                                f"UNION ALL {insert_sql(TABLES['employees'])}")
 
 
-# The warehouse after one batch run end to end: each table starts from its
-# stage-loaded snapshot (landing CSV round trip) and looks up the dimensions as
-# they stand after their own load in the same batch (the runner's order).
-AFTER_BATCH = {t: f"after_{t}" for t in LOAD_ORDER}
-for _t in LOAD_ORDER:
-    _spec = TABLES[_t]
-    CTES.add(f"staged_{_t}", stage_load_sql(_t))
-    CTES.add(f"prep_after_{_t}", prepared_sql(_spec, AFTER_BATCH, stage=f"staged_{_t}"))
-    _body = (f"{update_sql(_spec, False, f'prep_after_{_t}')} UNION ALL "
-             f"{insert_sql(_spec, f'prep_after_{_t}')}")
-    if _t == "employees":
-        CTES.add("after_employees_raw", _body)
-        _body = employees_fk_sql("after_employees_raw", offices="after_offices")
-    CTES.add(f"after_{_t}", _body)
-
-
 def queries() -> dict[str, str]:
     q = {}
-    for t in LOAD_ORDER:
-        q[f"etl_two_batches_{t}"] = f"SELECT * FROM after_{t}"
     for t in LOAD_ORDER:
         spec = TABLES[t]
         q[f"insert_new_{t}"] = insert_sql(spec)

@@ -21,9 +21,11 @@ CONVERSATIONS = _schema(("conv_id", BIG), ("turn", BIG), ("role", STR), ("text",
 ORDERS_TEXT = _schema(("o_orderkey", BIG), ("o_orderdate", DATE), ("o_orderstatus", STR),
                       ("o_totalprice", MONEY), ("o_orderpriority", STR))
 # Layouts the temporal round trip renders every order date in.
-DATE_RENDERINGS = ("yyyy-MM-dd", "yyyy/MM/dd", "MM/dd/yyyy", "yyyyMMdd", "dd-MMM-yyyy", "dd.MM.yyyy")
-TIMESTAMP_RENDERINGS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "MM/dd/yyyy HH:mm:ss",
-                        "yyyyMMdd HHmmss", "dd-MMM-yyyy HH:mm:ss")
+DATE_RENDERINGS = ("yyyy-MM-dd", "yyyy/MM/dd", "MM/dd/yyyy", "M/d/yyyy", "yyyyMMdd", "dd-MMM-yyyy", "dd-MMM-yy",
+                   "dd.MM.yyyy", "MMM d, yyyy", "MMM-dd-yyyy")
+TIMESTAMP_RENDERINGS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss'Z'",
+                        "yyyy-MM-dd HH:mm:ss'+00'", "MM/dd/yyyy HH:mm:ss", "MM/dd/yyyy hh:mm:ss a", "yyyyMMdd HHmmss",
+                        "dd-MMM-yyyy HH:mm:ss")
 TRUNCATE_WIDTHS = {"text": 1000, "source": 4}
 
 
@@ -43,36 +45,36 @@ def round_trip(spark: SparkSession, df: DataFrame, schema: StructType, widths=No
 def stage_load_table(fx: Fixtures, table: str) -> DataFrame:
     spec = TABLES[table]
     extracted = extract(fx.stage(table), spec)
-    return round_trip(fx.spark, extracted, spec.stage, spec.widths)
+    return round_trip(fx.spark, extracted, spec.stage)
 
 
 def documents_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread(read_table(spark, sf_dir, "documents"), "doc_id")
+    docs = spread(read_table(spark, sf_dir, "documents"))
     return docs.select("doc_id", clean_text(F.col("text")).alias("text"))
 
 
 def landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread(read_table(spark, sf_dir, "documents").select(*DOCUMENTS.names), "doc_id")
+    docs = spread(read_table(spark, sf_dir, "documents").select(*DOCUMENTS.names))
     cleaned = docs.select(*[clean_text(F.col(c)).alias(c) if c in ("text", "lang", "source") else F.col(c)
                             for c in DOCUMENTS.names])
     return round_trip(spark, cleaned, DOCUMENTS)
 
 
 def stage_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread(read_table(spark, sf_dir, "documents").select(*DOCUMENTS.names), "doc_id")
+    docs = spread(read_table(spark, sf_dir, "documents").select(*DOCUMENTS.names))
     return round_trip(spark, docs, DOCUMENTS, TRUNCATE_WIDTHS).select("doc_id", "text", "source")
 
 
 def stage_invalid_chars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing written in ISO-8859-1 by mistake, loaded as UTF-8: bad bytes become '?'."""
-    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     out = round_trip(spark, docs, _schema(("doc_id", BIG), ("text", STR)),
                      write_opts={"encoding": "ISO-8859-1"})
     return out
 
 
 def stage_null_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    conv = spread(read_table(spark, sf_dir, "conversations"), "conv_id")
+    conv = spread(read_table(spark, sf_dir, "conversations"))
     src = conv.select("conv_id", "turn", "role", "text",
                       F.repeat(F.lit(" "), F.col("turn").cast("int")).alias("note"))
     return round_trip(spark, src, CONVERSATIONS)
@@ -80,7 +82,7 @@ def stage_null_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage_parse_temporal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order date rendered in every supported layout, loaded back as date and timestamp."""
-    o = spread(read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"), "o_orderkey")
+    o = spread(read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"))
     layouts = F.array(*[F.struct(F.lit(f).alias("layout"),
                                  F.date_format(F.col("o_orderdate"), f).alias("as_text"))
                         for f in (*DATE_RENDERINGS, *TIMESTAMP_RENDERINGS)])
@@ -104,7 +106,16 @@ def stage_reject_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     o.select(line.alias("value")).write.mode("overwrite").text(land)
     out = _scratch(spark, "stage")
     load_stage(spark, land, ORDERS_TEXT, out, max_errors=None, header="false")
-    return rejects(spark, out).select("o_orderkey", "reject_reason")
+    return rejects(spark, out, ORDERS_TEXT).select("o_orderkey", "reject_reason")
+
+
+def snapshot_select(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The snapshot of every order's batch date: the six supported dates and one that is not."""
+    day = F.col("o_orderkey") % 7
+    date = F.when(day == 6, F.lit("2001-01-01")).otherwise(
+        F.date_format(F.date_add(F.lit("2005-06-10").cast("date"), day.cast("int")), "yyyy-MM-dd"))
+    dates = read_table(spark, sf_dir, "orders").select(date.alias("batch_date")).distinct()
+    return dates.select("batch_date", snapshot_col(F.col("batch_date")).alias("snapshot"))
 
 
 def _q(fn, *args):
@@ -126,8 +137,5 @@ def queries() -> dict:
     q["stage_invalid_chars"] = stage_invalid_chars
     q["stage_reject_rows"] = stage_reject_rows
     q["batch_latest"] = _q(lambda fx: latest_batch_row(fx.batch_control))
-    q["snapshot_select"] = lambda spark, sf: (
-        read_table(spark, sf, "orders")
-        .select(F.date_format(F.col("o_orderdate"), "yyyy-MM-dd").alias("batch_date")).distinct()
-        .select("batch_date", snapshot_col(F.col("batch_date")).alias("snapshot")))
+    q["snapshot_select"] = snapshot_select
     return q

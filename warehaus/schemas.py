@@ -7,7 +7,7 @@ loaders are data, not code.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql.types import (DataType, DateType, DecimalType, IntegerType, LongType,
                                StringType, StructField, StructType, TimestampNTZType)
@@ -52,7 +52,6 @@ class TableSpec:
     update_columns: tuple[str, ...]       # warehouse business columns refreshed when newer
     lookups: tuple[Lookup, ...] = ()
     placeholders: tuple[str, ...] = ()    # bigint FK columns inserted as NULL
-    widths: dict[str, int] = field(default_factory=dict)
 
     # -- derived layouts -------------------------------------------------
     def dw_name(self, stage_col: str) -> str:
@@ -103,26 +102,8 @@ _TS_COLS = (("create_timestamp", TS), ("update_timestamp", TS))
 LEADING_FK = {"orders": ("dw_customer_id",), "orderdetails": ("dw_order_id", "dw_product_id"),
               "payments": ("dw_customer_id",)}
 
-# Declared character widths of the string columns, applied by the
-# tolerant stage load when it truncates over-long values.  They follow the
-# public sample retail schema the source tables come from.
-WIDTHS = {
-    "offices": {"officecode": 10, "city": 50, "phone": 50, "addressline1": 50, "addressline2": 50,
-                "state": 50, "country": 50, "postalcode": 15, "territory": 10},
-    "employees": {"lastname": 50, "firstname": 50, "extension": 10, "email": 100,
-                  "officecode": 10, "jobtitle": 50},
-    "productlines": {"productline": 50, "textdescription": 4000, "htmldescription": 65535,
-                     "image": 65535},
-    "products": {"productname": 70, "productline": 50, "productscale": 10, "productvendor": 50,
-                 "productdescription": 65535},
-    "customers": {"customername": 50, "contactlastname": 50, "contactfirstname": 50, "phone": 50,
-                  "addressline1": 50, "addressline2": 50, "city": 50, "state": 50,
-                  "postalcode": 15, "country": 50},
-    "orders": {"status": 15, "comments": 65535},
-    "orderdetails": {},
-    "payments": {"checknumber": 50},
-}
-
+# Fixed values, which must equal the reference's: column names, natural keys, renames,
+# surrogate names, update sets and lookups of the eight tables.
 OFFICES = TableSpec(
     name="offices", landing_name="Offices",
     stage=_schema(("officecode", STR), ("city", STR), ("phone", STR), ("addressline1", STR),
@@ -130,8 +111,7 @@ OFFICES = TableSpec(
                   ("territory", STR), *_TS_COLS),
     key=("officecode",), renames={}, surrogate="dw_office_id",
     update_columns=("city", "phone", "addressline1", "addressline2", "state", "country",
-                    "postalcode", "territory"),
-    widths=WIDTHS["offices"])
+                    "postalcode", "territory"))
 
 EMPLOYEES = TableSpec(
     name="employees", landing_name="Employees",
@@ -141,20 +121,18 @@ EMPLOYEES = TableSpec(
     key=("employeenumber",), renames={}, surrogate="dw_employee_id",
     update_columns=("lastname", "firstname", "extension", "email", "officecode", "reportsto",
                     "jobtitle"),
-    placeholders=("dw_office_id", "dw_reporting_employee_id"),
-    widths=WIDTHS["employees"])
+    placeholders=("dw_office_id", "dw_reporting_employee_id"))
 
 PRODUCTLINES = TableSpec(
     name="productlines", landing_name="ProductLines",
     stage=_schema(("productline", STR), ("textdescription", STR), ("htmldescription", STR),
                   ("image", STR), *_TS_COLS),
     key=("productline",), renames={}, surrogate="dw_product_line_id",
-    update_columns=("textdescription", "htmldescription", "image"),
-    widths=WIDTHS["productlines"])
+    update_columns=("textdescription", "htmldescription", "image"))
 
 PRODUCTS = TableSpec(
     name="products", landing_name="Products",
-    stage=_schema(("productcode", BIG), ("productname", STR), ("productline", STR),
+    stage=_schema(("productcode", STR), ("productname", STR), ("productline", STR),
                   ("productscale", STR), ("productvendor", STR), ("productdescription", STR),
                   ("quantityinstock", INT), ("buyprice", MONEY), ("msrp", MONEY), *_TS_COLS),
     key=("productcode",), renames={"productcode": "src_productcode"}, surrogate="dw_product_id",
@@ -162,8 +140,7 @@ PRODUCTS = TableSpec(
                     "productdescription", "quantityinstock", "buyprice", "msrp",
                     "dw_product_line_id"),
     lookups=(Lookup("dw_product_line_id", "productlines", "productline", "productline",
-                    "dw_product_line_id", on_update=True),),
-    widths=WIDTHS["products"])
+                    "dw_product_line_id", on_update=True),))
 
 CUSTOMERS = TableSpec(
     name="customers", landing_name="Customers",
@@ -176,8 +153,7 @@ CUSTOMERS = TableSpec(
     surrogate="dw_customer_id",
     update_columns=("customername", "contactlastname", "contactfirstname", "phone",
                     "addressline1", "addressline2", "city", "state", "postalcode", "country",
-                    "salesrepemployeenumber", "creditlimit"),
-    widths=WIDTHS["customers"])
+                    "salesrepemployeenumber", "creditlimit"))
 
 ORDERS = TableSpec(
     name="orders", landing_name="Orders",
@@ -190,12 +166,11 @@ ORDERS = TableSpec(
     update_columns=("dw_customer_id", "orderdate", "requireddate", "shippeddate", "status",
                     "comments", "cancelleddate", "src_customernumber"),
     lookups=(Lookup("dw_customer_id", "customers", "src_customernumber", "src_customernumber",
-                    "dw_customer_id", on_update=True),),
-    widths=WIDTHS["orders"])
+                    "dw_customer_id", on_update=True),))
 
 ORDERDETAILS = TableSpec(
     name="orderdetails", landing_name="OrderDetails",
-    stage=_schema(("ordernumber", BIG), ("productcode", BIG), ("quantityordered", INT),
+    stage=_schema(("ordernumber", BIG), ("productcode", STR), ("quantityordered", INT),
                   ("priceeach", MONEY), ("orderlinenumber", INT), *_TS_COLS),
     key=("ordernumber", "productcode"),
     renames={"ordernumber": "src_ordernumber", "productcode": "src_productcode"},
@@ -204,8 +179,7 @@ ORDERDETAILS = TableSpec(
     lookups=(Lookup("dw_order_id", "orders", "src_ordernumber", "src_ordernumber",
                     "dw_order_id", on_update=False),
              Lookup("dw_product_id", "products", "src_productcode", "src_productcode",
-                    "dw_product_id", on_update=False)),
-    widths=WIDTHS["orderdetails"])
+                    "dw_product_id", on_update=False)))
 
 PAYMENTS = TableSpec(
     name="payments", landing_name="Payments",
@@ -215,8 +189,7 @@ PAYMENTS = TableSpec(
     surrogate=None,
     update_columns=("paymentdate", "amount"),
     lookups=(Lookup("dw_customer_id", "customers", "src_customernumber", "src_customernumber",
-                    "dw_customer_id", on_update=False),),
-    widths=WIDTHS["payments"])
+                    "dw_customer_id", on_update=False),))
 
 TABLES: dict[str, TableSpec] = {t.name: t for t in
                                 (OFFICES, EMPLOYEES, PRODUCTLINES, PRODUCTS, CUSTOMERS, ORDERS,

@@ -2,7 +2,8 @@
 
 Scratch data (landing files of the ingest queries, pinned surrogate-key
 inputs) lives under the cluster's ``spark.checkpoint.dir``.  A folder of our
-own is only chosen when the session has none, as in local tests.
+own is only chosen on a local master without one, as in tests; on a cluster a
+missing setting is an error.
 """
 
 from __future__ import annotations
@@ -21,8 +22,8 @@ SCALE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.files.maxPartitionBytes": "128m",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -50,13 +51,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached in local runs without a configured shared folder.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="warehaus-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{root}/warehaus/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/warehaus/{purpose}/{uuid.uuid4().hex}"
+    return f"{_scratch_root(spark)}/{purpose}/{uuid.uuid4().hex}"
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Delete everything this application wrote to its scratch folders (at the end of a job)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

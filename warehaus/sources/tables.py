@@ -16,16 +16,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, *key_cols: str) -> DataFrame:
-    """Hash-partition ``df`` on ``key_cols`` when it has fewer partitions than the
-    cluster runs tasks at once.
-
-    For CPU-heavy row-wise work (text cleaning, CSV encoding) on an input made
-    of few large files.  Inputs that already span enough partitions, as any
-    large table does, are returned unchanged, so no shuffle is added at scale.
-    Hashing on a key (not round robin) keeps retried tasks deterministic.
+SPREAD_CONF = "spark.warehaus.spreadPartitions"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt evenly over as many partitions as the session asks for.
+
+    Only for inputs known to consist of few large splits (as the single-file
+    test tables): a caller sets ``spark.warehaus.spreadPartitions``.  Unset,
+    the scan's own splits are kept and nothing is shuffled.
     """
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= parallelism:
-        return df
-    return df.repartition(parallelism, *key_cols)
+    n = df.sparkSession.conf.get(SPREAD_CONF, None)
+    return df.repartition(int(n)) if n else df
