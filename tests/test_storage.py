@@ -1,41 +1,125 @@
+import datetime as dt
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from warehaus.batch import Batch
 from warehaus.plans.storage import TableStore
-from warehaus.sources.tables import spread
+from warehaus.sources.tables import SPREAD_CONF, spread
+
+B = Batch.of(7, "2005-06-10")
+ROWS = "id long, x int, src_create_timestamp timestamp_ntz"
+
+
+def rows(spark, *r):
+    return spark.createDataFrame([(i, x, dt.datetime(2005, m, 1) if m else None) for i, x, m in r], ROWS)
+
+
+def files(store, table):
+    """Data files by partition folder, with their modification times."""
+    out = {}
+    root = store.path(table).replace("file:", "")
+    for d, _, names in os.walk(root):
+        for n in names:
+            if n.endswith(".parquet"):
+                out.setdefault(os.path.relpath(d, root), set()).add((n, os.stat(f"{d}/{n}").st_mtime_ns))
+    return out
 
-B = Batch.of(7, "1998-06-01")
+
+def content(df):
+    return sorted((r.id, r.x) for r in df.collect())
+
+
+@pytest.fixture(params=["static", "dynamic"])
+def overwrite_mode(spark, request):
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+
+
+def test_only_touched_partitions_are_rewritten(spark, tmp_root, overwrite_mode):
+    store = TableStore(spark, f"{tmp_root}/wh")
+    assert not store.exists("t") and store.parts("t") == []
+    store.create("t", rows(spark, (1, 0, 1), (2, 0, 2), (3, 0, 3), (4, 0, None)))
+    assert store.parts("t") == ["2005-01", "2005-02", "2005-03", "undated"]
+    before = files(store, "t")
+    touched = store.read("t", parts=["2005-02"])
+    store.write_parts("t", touched.withColumn("x", F.col("x") + 5).unionByName(rows(spark, (5, 9, 2))))
+    after = files(store, "t")
+    assert content(store.read("t")) == [(1, 0), (2, 5), (3, 0), (4, 0), (5, 9)]
+    assert {k for k in before if before[k] != after[k]} == {"part=2005-02"}
+    assert content(store.read("t", parts=[])) == []
 
 
-def test_versions_and_failed_commit(spark, tmp_root):
+def test_failed_write_leaves_the_table(spark, tmp_root):
     store = TableStore(spark, f"{tmp_root}/wh")
-    assert not store.exists("t")
-    v1 = store.commit("t", spark.range(3).withColumn("x", F.lit(1)), B)
-    assert store.current_version("t") == 1 and v1.count() == 3
-    # A load that fails while writing (ANSI division by zero) commits nothing.
-    bad = spark.range(3).withColumn("x", (F.lit(1) / (F.col("id") - F.col("id"))).cast("int"))
+    store.create("t", rows(spark, (1, 0, 1), (2, 0, 2)))
+    before = files(store, "t")
+    bad = store.read("t").withColumn("x", (F.lit(1) / (F.col("id") - F.col("id"))).cast("int"))
     with pytest.raises(Exception):
-        store.commit("t", bad, B)
-    assert store.current_version("t") == 1
-    assert sorted(r.id for r in store.read("t").collect()) == [0, 1, 2]
-    store.commit("t", store.read("t").filter(F.col("id") > 0), B)
-    assert store.current_version("t") == 2 and store.read("t").count() == 2
-    # A new store object on the same root sees the same state (manifest on storage).
-    again = TableStore(spark, f"{tmp_root}/wh")
-    assert again.current_version("t") == 2 and again.batches("t") == {7}
+        store.write_parts("t", bad)
+    assert files(store, "t") == before
+    with pytest.raises(FileExistsError):
+        store.create("t", rows(spark, (1, 0, 1)))
 
 
-def test_partitioned_rerun_replaces_its_partition(spark, tmp_root):
-    store = TableStore(spark, f"{tmp_root}/wh2")
-    day = spark.range(4).select(F.col("id"), F.lit(B.date).alias("etl_batch_date"))
-    store.write_partitions("d", day, B)
-    store.write_partitions("d", day, B)
-    assert store.read("d").count() == 4
+def test_emptied_partition_goes(spark, tmp_root, overwrite_mode):
+    store = TableStore(spark, f"{tmp_root}/wh")
+    day = spark.createDataFrame([(1, B.date), (2, dt.date(2005, 6, 9))], "id long, etl_batch_date date")
+    store.create("daily_x", day)
+    store.write_parts("daily_x", day.limit(0), emptied=[B.date_text])
+    assert [r.id for r in store.read("daily_x").collect()] == [2]
+    store.write_parts("daily_x", day.limit(0), emptied=["2005-06-09"])
+    assert store.read("daily_x", day.schema).collect() == []
+
+
+def test_empty_first_load_is_an_empty_table(spark, tmp_root):
+    store = TableStore(spark, f"{tmp_root}/wh")
+    empty = rows(spark, (1, 0, 1)).limit(0)
+    store.write_parts("t", empty)
+    assert store.exists("t") and store.read("t", empty.schema).collect() == []
+
+
+def test_unreadable_table_raises(spark, tmp_root):
+    """Only a missing path means that there is no table."""
+    store = TableStore(spark, f"{tmp_root}/wh")
+    schema = rows(spark, (1, 0, 1)).schema
+    assert store.read("t", schema).collect() == []
+    store.create("t", rows(spark, (1, 0, 1)))
+    folder = store.path("t").replace("file:", "") + "/part=2005-01"
+    for n in os.listdir(folder):
+        os.remove(f"{folder}/{n}")
+    with open(f"{folder}/part-0.parquet", "wb") as f:
+        f.write(b"not parquet")
+    with pytest.raises(Exception):
+        store.read("t", schema).collect()
+    with pytest.raises(KeyError):
+        store.read("other")
+
+
+def test_state_before_a_batch(spark, tmp_root):
+    store = TableStore(spark, f"{tmp_root}/wh")
+    schema = rows(spark, (1, 0, 1)).schema
+    store.create("t", rows(spark, (1, 0, 1), (2, 0, 2), (3, 0, 3)))
+    old, parts = store.state_before("t", schema, B, ["2005-01"])
+    store.write_parts("t", old.withColumn("x", F.lit(1)))
+    # the rerun touches one more partition, and a third run the same again
+    for _ in range(2):
+        old, parts = store.state_before("t", schema, B, ["2005-01", "2005-02"])
+        assert content(old) == [(1, 0), (2, 0)] and parts == ["2005-01", "2005-02"]
+        store.write_parts("t", old.withColumn("x", F.lit(2)))
+    old, parts = store.state_before("t", schema, B, [])
+    assert content(old) == [(1, 0), (2, 0)] and parts == ["2005-01", "2005-02"]
+    assert store.later_batches("t", Batch.of(6, "2005-06-09")) == [7] and store.later_batches("t", B) == []
 
 
-def test_spread_only_when_under_parallelism(spark):
+def test_spread_only_on_request(spark):
     few = spark.range(0, 1000, numPartitions=1)
-    assert spread(few, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism + 3)
-    assert spread(many, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism + 3
+    assert spread(few).rdd.getNumPartitions() == 1
+    spark.conf.set(SPREAD_CONF, "5")
+    try:
+        assert spread(few).rdd.getNumPartitions() == 5
+    finally:
+        spark.conf.unset(SPREAD_CONF)

@@ -19,10 +19,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from warehaus.oracle import history_sql, ingest_sql, summary_sql, upsert_sql
+    from warehaus.oracle import batches_sql, history_sql, ingest_sql, summary_sql, upsert_sql
     o: dict = {}
     o.update(summary_sql.queries())
     o.update(upsert_sql.queries())
     o.update(history_sql.queries())
     o.update(ingest_sql.queries())
+    o.update(batches_sql.queries())
     return o
