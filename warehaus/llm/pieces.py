@@ -14,7 +14,7 @@ merges, and decode to the same text.
 
 No piece has a word mark after another character, so a best path breaks before
 every word mark; the pass runs word by word and a bounded memo keeps the ids
-of words already seen.  Where a model breaks that rule, whole texts are passed.
+of words already seen (a full memo becomes the older of two generations).  Where a model breaks that rule, whole texts are passed.
 
 Defined results: null and empty texts have no ids; texts of any length are
 encoded whole; repeated rows give equal rows; an empty table gives an empty
@@ -23,17 +23,21 @@ result; other columns are not looked at.
 
 from __future__ import annotations
 
+import math
 import re
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"  # fixed value: SentencePiece's word mark
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-MEMO_WORDS = 400_000
+MEMO_WORDS = 150_000  # in each of the two generations
+SLICE_ROWS = 128
 UNKNOWN_COST = 10.0  # fixed value: the library's penalty below the least score
 
 
@@ -68,57 +72,69 @@ class Pieces:
         # A line break is a word's end too where no piece holds one.
         stop = MARK if "\n" in letters else f"{MARK}\n"
         self.words = re.compile(f"{MARK}*[^{stop}]+|{MARK}+|\n+")
-        self.memo: dict[str, list[int]] = {}
+        self.letters = frozenset(x for x in letters if self.automaton.exists(x))
+        self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _word(self, word: str) -> list[int]:
-        """Viterbi over one word: best[e] is the best score of a path ending at e, back[e] its last piece."""
-        best, back = [0.0], [(0, None)]
-
-        def open_to(end: int) -> None:
-            while len(best) <= end:  # at first, the character before as an unknown one
-                best.append(best[-1] + self.unknown_score)
-                back.append((1, None))
-
-        for end, (length, score, i) in self.automaton.iter(word):
-            open_to(end + 1)
-            total = best[end + 1 - length] + score
-            if total > best[end + 1]:
-                best[end + 1], back[end + 1] = total, (length, i)
+        """Viterbi over one word: best[e] is the best score of a path ending at e, size and piece its last step."""
         n = len(word)
-        open_to(n)
+        best, size, piece = [0.0] + [-math.inf] * n, [0] * (n + 1), [0] * (n + 1)
+        if self.letters.issuperset(word):  # then every place is reached by pieces
+            for end, (length, score, i) in self.automaton.iter(word):
+                total = best[end + 1 - length] + score
+                if total > best[end + 1]:
+                    best[end + 1], size[end + 1], piece[end + 1] = total, length, i
+        else:
+            ends: list[list] = [[] for _ in word]
+            for end, step in self.automaton.iter(word):
+                ends[end].append(step)
+            for at, c in enumerate(word):
+                steps = ends[at] if c in self.letters else [*ends[at], (1, self.unknown_score, None)]
+                for length, score, i in steps:
+                    total = best[at + 1 - length] + score
+                    if total > best[at + 1]:
+                        best[at + 1], size[at + 1], piece[at + 1] = total, length, i
         ids: list[int] = []
-        end = n
-        while end:
-            length, i = back[end]
-            if i is None:
-                raw = word[end - 1].encode("utf-8", "surrogatepass")
+        while n:
+            if piece[n] is None:
+                raw = word[n - 1].encode("utf-8", "surrogatepass")
                 ids += [self.bytes_at.get(b, self.unknown) for b in reversed(raw)] if self.bytes_at else [self.unknown]
             else:
-                ids.append(i)
-            end -= length
+                ids.append(piece[n])
+            n -= size[n]
         ids.reverse()
         return ids
 
-    def encode(self, text: str | None) -> list[int]:
+    def _kept(self, word: str) -> bytes:
+        """The word's ids as 32-bit integers, from the older generation or computed, and kept."""
+        if (ids := self.memo.get(word)) is not None:
+            return ids
+        if (ids := self.older.get(word)) is None:
+            ids = array("i", self._word(word)).tobytes()
+        if len(self.memo) >= MEMO_WORDS:
+            self.older, self.memo = self.memo, {}
+        self.memo[word] = ids
+        return ids
+
+    def encode_bytes(self, text: str | None) -> bytes:
+        """The ids of a text as native 32-bit integers."""
         if not text:
-            return []
+            return b""
         marked = MARK + text.replace(" ", MARK)
         if self.inner_mark:
-            return self._word(marked)
-        out: list[int] = []
-        memo, get = self.memo, self.memo.get
-        for w in self.words.findall(marked):
-            ids = get(w)
-            if ids is None:
-                ids = self._word(w)
-                if len(memo) >= MEMO_WORDS:
-                    memo.clear()
-                memo[w] = ids
-            out += ids
-        return out
+            return array("i", self._word(marked)).tobytes()
+        words = self.words.findall(marked)
+        parts = list(map(self.memo.get, words))
+        if None in parts:
+            parts = [self._kept(w) if x is None else x for w, x in zip(words, parts, strict=True)]
+        return b"".join(parts)
+
+    def encode(self, text: str | None) -> list[int]:
+        return array("i", self.encode_bytes(text)).tolist()
 
     def decode(self, ids: list[int]) -> str:
-        text = b"".join([self.surface[i] for i in ids]).decode("utf-8", "replace").replace(MARK, " ")
+        text = b"".join(map(self.surface.__getitem__, ids)).decode("utf-8", "replace").replace(MARK, " ")
         return text.removeprefix(" ")
 
 
@@ -151,15 +167,18 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_
         import pyarrow as pa
         pieces = load(model_path, model)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(at, SLICE_ROWS)
                 texts = part.column(part.schema.get_field_index("__text")).to_pylist()
-                ids = [pieces.encode(t) for t in texts]
+                found = [pieces.encode_bytes(t) for t in texts]
+                size = np.array([len(x) // 4 for x in found])
+                ids = np.frombuffer(b"".join(found), np.int32)
                 cols = [part.column(part.schema.get_field_index(n)) for n in names]
-                cols += [pa.array(ids, pa.list_(pa.int32())), pa.array([len(x) for x in ids], pa.int64())]
+                cols += [pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), pa.array(ids)),
+                         pa.array(size, pa.int64())]
                 if check:
-                    cols.append(pa.array([pieces.decode(x) == (t or "").replace(MARK, " ")
-                                          for x, t in zip(ids, texts, strict=True)], pa.bool_()))
+                    cols.append(pa.array([pieces.decode(array("i", x)) == (t or "").replace(MARK, " ")
+                                          for x, t in zip(found, texts, strict=True)], pa.bool_()))
                 yield pa.RecordBatch.from_arrays(cols, names + ["ids", "n_ids"] + (["round_trip"] if check else []))
 
     return rows.mapInArrow(run, f"{kept}, ids array<int>, n_ids long{extra}")
