@@ -3,13 +3,13 @@
 import pytest
 
 import __spark_entry__ as entry
+from warehaus.plans import catalog
 from warehaus.oracle.compare import compare, duckdb_connection
 
 from conftest import SF_SMALL
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
-SLOW = {"etl_two_batches"}   # covered by test_runner
+QUERIES = catalog.queries()
+ORACLE = catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -17,12 +17,11 @@ def con():
     return duckdb_connection(SF_SMALL)
 
 
-def test_every_query_has_an_oracle_or_is_documented():
-    missing = set(QUERIES) - set(ORACLE)
-    assert missing <= {"etl_two_batches"}, missing
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("key", sorted(k for k in QUERIES if k in ORACLE and k not in SLOW))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, key):
     df = QUERIES[key](spark, SF_SMALL)
     assert compare(df, ORACLE[key], con) == []
