@@ -319,8 +319,12 @@ def test_signatures_of_linked_sets_meet():
             if not len(b) or not jaccard.linked(a, b, percent) or np.array_equal(a, b):
                 continue
             at = np.array([0, len(a), len(a) + len(b)])
-            owner, sig = classes.signatures(at, np.concatenate([a, b]))
-            assert set(sig[owner == 0]) & set(sig[owner == 1])
+            owner, sig, demand = classes.signatures(at, np.concatenate([a, b]))
+            both = set(sig[owner == 0]) & set(sig[owner == 1])
+            kind = classes.of(np.array([min(len(a), len(b))]))[0]
+            need = {int(d & 0xFFFFFFFF) for o in (0, 1) for d in demand[owner == o] if d >> 32 == kind}
+            mine = [x for x, d, o in zip(sig, demand, owner, strict=True) if o == 0 and d >> 32 == kind and x in both]
+            assert len(mine) >= max(need)
 
 
 def test_drop_near_keeps_one_of_each_group(spark):

@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from warehaus.llm.common import stored
+from warehaus.llm.common import small_batches, stored
 
 ROLES = ("system", "user", "assistant")
 STATES = 2 * len(ROLES)  # 2 * role: first line; 2 * role + 1: further line
@@ -129,6 +129,7 @@ class Model:
 
 def lines_of(df: DataFrame, conv_col: str, turn_col: str, text_col: str, role: Column | None = None) -> DataFrame:
     """Observed lines in order, cut into the partitions of one range partitioning (column ``part``)."""
+    small_batches(df.sparkSession)
     known = F.lit(None) if role is None else F.array_position(F.array(*map(F.lit, ROLES)), role) - 1
     rows = stored(df.select(df[conv_col].alias("conv"), df[turn_col].cast("long").alias("turn"),
                             F.monotonically_increasing_id().alias("row"), df[text_col].alias("text"),

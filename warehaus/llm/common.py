@@ -9,6 +9,7 @@ from warehaus.session import scratch_path
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
+ARROW_ROWS = 500
 BITS_PER_BLOCK = 32768  # fixed by Spark's bitmap functions: 4,096 bytes
 
 
@@ -24,6 +25,17 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let Arrow batches hold at most ``ARROW_ROWS`` rows in this session (texts may be long).
+
+    Spark's default of 10,000 rows takes hundreds of megabytes of buffers per
+    executor on documents; a smaller setting of the session stays.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > ARROW_ROWS:
+        spark.conf.set(key, ARROW_ROWS)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -7,13 +7,14 @@
 2. *Co-location.*  Sizes fall into classes; for a class the shingles are dealt
    over m segments by hash.  Two linked sets differ in at most H shingles (a
    bound of their class), so with m > H at least m - H segments are equal in
-   both, and the hash of one is a shared signature.  A set emits signatures for
-   its own class and those of sets it may be the larger partner of, from its
-   segments of q shingles or more, where q (at most 3) is the largest number
-   for which fewer than m - H segments are thinner.  (m exceeds H by a quarter.
-   Of the equal segments of a pair one has at least the larger q of both.)
-   Signatures seen for one key only vanish; the others tie their keys into
-   candidate classes, found by star edges and connected components.
+   both, and the hash of an equal segment is a signature of both.  A set emits
+   the signatures of its non-empty segments, for its own class and those of
+   sets it may be the larger partner of, with the number it *needs*: m - H less
+   its empty segments (a set with fewer than one left emits these too).
+   Signatures seen for one key only vanish; then the keys with fewer
+   signatures left in a class than they need, as no linked pair can hold them.
+   The others tie their keys into candidate classes, found by star edges and
+   connected components.
 
 3. *Signature tree.*  The sets of one candidate class meet in one task (a
    class of more than ``block`` sets in one task per pair of its blocks, the
@@ -42,16 +43,15 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from warehaus.llm.common import BITS_PER_BLOCK, bit_blocks, components, stored
-from warehaus.llm.exact_dedup import flagged, key_filter, repeated_cells
+from warehaus.llm.common import BITS_PER_BLOCK, bit_blocks, components, small_batches, stored
+from warehaus.llm.exact_dedup import flagged, key_filter
 
 WORDS = 5
 PERCENT = 80
 BLOCK = 4096
-FILTER_BITS = 23  # of the filter that says whose sets are needed: 1 MB
+FILTER_BITS = 25  # of each filter that is sent to the tasks: 4 MB
 U = np.uint64
-BATCH_BYTES = 1 << 20
-FULL = 3  # shingles of a segment that is worth a signature
+BATCH_BYTES = 1 << 18
 
 
 # ------------------------------------------------------------------ shingles
@@ -119,7 +119,7 @@ def keys_of(at: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 # ---------------------------------------------------------------- signatures
 
 class Classes:
-    """Size classes; for each: least and largest size of the smaller partner, H and m."""
+    """Size classes; for each: the least size, the largest difference H of a linked pair, and the segments m."""
 
     def __init__(self, percent: int):
         self.percent = percent
@@ -131,23 +131,27 @@ class Classes:
             most = (100 - percent) * (high + larger) // (100 + percent)
             lows.append(low)
             differing.append(most)
-            parts.append(most + 1 + (most + 3) // 4 if most else 0)  # none: only equal sets can link
+            parts.append(most + 1 + (most + 4) // 5 if most else 0)  # none: only equal sets can link
             low = high + 1
         self.low, self.differing, self.parts = np.array(lows), np.array(differing), np.array(parts)
 
     def of(self, size: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.low, size, side="right") - 1
 
-    def signatures(self, at: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(text, signature) of every signature of every set."""
+    def signatures(self, at: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, signature, demand) of every signature of every set.
+
+        ``demand`` holds the class (above bit 32) and the signatures that a
+        linked pair has in common there, at least.
+        """
         n = np.diff(at)
         text = np.repeat(np.arange(len(n)), n)
         last = self.of(np.maximum(n, 1))
         first = self.of(np.maximum((n * self.percent + 99) // 100, 1))
-        out_text, out = [], []
+        out = [(np.zeros(0, np.int64), np.zeros(0, U), np.zeros(0, np.int64))]
         for step in range(int((last - first).max(initial=0)) + 1):
-            kind = first + step
-            parts = np.where((kind <= last) & (n > 0), self.parts[np.minimum(kind, last)], 0)
+            kind = np.minimum(first + step, last)
+            parts = np.where((first + step <= last) & (n > 0), self.parts[kind], 0)
             base = np.cumsum(parts) - parts
             used = parts[text] > 0
             t, h = text[used], hashes[used]
@@ -155,23 +159,17 @@ class Classes:
             slot = base[t] + ((scattered >> U(33)).astype(np.int64) % parts[t])
             total = int(parts.sum())
             # Sums of 32-bit halves stay exact in doubles.
-            half = lambda x: np.bincount(slot, weights=x.astype(np.float64), minlength=total).astype(U)
+            half = lambda x: np.bincount(slot, weights=x.astype(np.float64), minlength=total).astype(U)  # noqa: B023, E731
             held = np.bincount(slot, minlength=total)
             value = half(scattered & U(0xFFFFFFFF)) + (half(scattered >> U(32)) << U(32))
             owner = np.repeat(np.arange(len(n)), parts)
             part = (np.arange(total) - base[owner]).astype(U)
-            same = (self.parts - self.differing)[np.minimum(kind, last)]  # segments that are equal in a pair, at least
-            least = np.zeros(len(n), np.int64)
-            for q in range(1, FULL + 1):
-                least[np.bincount(owner, weights=held < q, minlength=len(n)) < same] = q
-            keep = held >= least[owner]
-            out_text.append(owner[keep])
-            out.append(mixed(value + mixed(kind[owner].astype(U) * U(1 << 40) + part) * U(3) + held.astype(U))[keep])
-        if not out:
-            return np.zeros(0, np.int64), np.zeros(0, U)
-        t, s = np.concatenate(out_text), np.concatenate(out)
-        order = np.argsort(t, kind="stable")
-        return t[order], s[order]
+            need = (self.parts - self.differing)[kind] - np.bincount(owner, weights=held == 0, minlength=len(n)).astype(np.int64)
+            keep = (held > 0) | (need < 1)[owner]
+            sign = mixed(value + mixed(kind[owner].astype(U) * U(1 << 40) + part) * U(3) + held.astype(U))
+            demand = (kind << 32) + np.maximum(need, 1)
+            out.append((owner[keep], sign[keep], demand[owner][keep]))
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
 # ------------------------------------------------------------ signature tree
@@ -263,7 +261,7 @@ def roots(left: list[np.ndarray], right: list[np.ndarray] | None, percent: int)
 # --------------------------------------------------------------------- Spark
 
 def _set_batches(batches: Iterator, words: int) -> Iterator:
-    """Slices of Arrow batches of about a megabyte with their shingle sets; the text is the last column."""
+    """Slices of Arrow batches of about 256 KB with their shingle sets; the text is the last column."""
     for batch in batches:
         col = batch.column(batch.num_columns - 1)
         start = 0
@@ -287,48 +285,29 @@ def row_mark(df: DataFrame, id_col: str, text_col: str) -> list:
     return [F.xxhash64(df[id_col], df[text_col]).alias("mark"), F.hash(df[text_col], df[id_col]).alias("mark_more")]
 
 
-def signed_rows(df: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
-    """(id, mark, mark_more, n_shingles, key, signatures) per row."""
+def keyed_rows(df: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
+    """(id, mark, mark_more, n_shingles, key) per row."""
     rows = df.select(df[id_col].alias("id"), *row_mark(df, id_col, text_col), df[text_col].alias("text"))
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
-        classes = Classes(percent)
         for part, at, hashes in _set_batches(batches, words):
-            owner, sig = classes.signatures(at, hashes)
-            ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=part.num_rows))])
             yield pa.RecordBatch.from_arrays(
-                [*(part.column(i) for i in range(3)), pa.array(np.diff(at)), pa.array(_signed(keys_of(at, hashes))),
-                 pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(_signed(sig)))],
-                ["id", "mark", "mark_more", "n_shingles", "key", "signatures"])
+                [*(part.column(i) for i in range(3)), pa.array(np.diff(at)), pa.array(_signed(keys_of(at, hashes)))],
+                ["id", "mark", "mark_more", "n_shingles", "key"])
 
-    return rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, mark long, mark_more int, n_shingles long, key long, "
-                                "signatures array<long>")
+    return rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, mark long, mark_more int, n_shingles long, key long")
 
 
-def needed_sets(df: DataFrame, text_col: str, words: int, bits: np.ndarray) -> DataFrame:
-    """(key, shingles) of the rows whose key may be needed, by a filter of bits."""
-    rows = df.select(df[text_col].alias("text"))
-    sent = df.sparkSession.sparkContext.broadcast(bits)
+def _among(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which values a filter of bits may hold."""
+    cell = (values % U(1 << FILTER_BITS)).astype(np.int64)
+    return (bits[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 == 1
 
-    def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-        held = sent.value
-        for _, at, hashes in _set_batches(batches, words):
-            key = keys_of(at, hashes)
-            cell = (key % U(1 << FILTER_BITS)).astype(np.int64)
-            want = (np.diff(at) > 0) & ((held[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 == 1)
-            if want.any():
-                sets = [_signed(hashes[at[i]:at[i + 1]]) for i in np.flatnonzero(want)]
-                yield pa.RecordBatch.from_arrays([pa.array(_signed(key)[want]), pa.array(sets, pa.list_(pa.int64()))],
-                                                 ["key", "shingles"])
 
-    return rows.mapInArrow(run, "key long, shingles array<long>")
-
-
-def _filter_bits(keys: DataFrame) -> np.ndarray:
-    """Bits of the keys' places, folded by Spark; at most 2 ** FILTER_BITS bits reach the driver."""
-    cells = keys.selectExpr(f"key & {(1 << FILTER_BITS) - 1}L as place") \
+def _filter_bits(values: DataFrame) -> np.ndarray:
+    """Bits of the places of column ``v``, folded by Spark; at most 2 ** FILTER_BITS bits reach the driver."""
+    cells = values.selectExpr(f"v & {(1 << FILTER_BITS) - 1}L as place") \
         .selectExpr(f"place div {BITS_PER_BLOCK} as block", f"place % {BITS_PER_BLOCK} as cell")
     held = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
     for r in bit_blocks(cells).collect():
@@ -336,6 +315,72 @@ def _filter_bits(keys: DataFrame) -> np.ndarray:
     return held
 
 
+class Speakers:
+    """Says which rows speak for their set: of equal sets, the first; by two filters, so a few copies may speak too."""
+
+    def __init__(self, repeated: DataFrame):
+        self.keys = _filter_bits(repeated.select(F.col("key").alias("v")))
+        self.marks = _filter_bits(repeated.select(F.col("first.mark").alias("v")))
+
+    def of(self, key: np.ndarray, mark: np.ndarray) -> np.ndarray:
+        return ~_among(self.keys, key) | _among(self.marks, mark)
+
+
+def _spoken_sets(df: DataFrame, id_col: str, text_col: str, words: int, speakers: Speakers, only: np.ndarray | None, build, schema: str) -> DataFrame:
+    """Rows that ``build(at, hashes, keys)`` makes of the sets of the speaking rows (with ``only``: of keys it may hold)."""
+    rows = df.select(row_mark(df, id_col, text_col)[0], df[text_col].alias("text"))
+    sent = df.sparkSession.sparkContext.broadcast((speakers, only))
+
+    def run(batches: Iterator) -> Iterator:
+        who, wanted = sent.value
+        for part, at, hashes in _set_batches(batches, words):
+            key = keys_of(at, hashes)
+            want = who.of(key, part.column(0).to_numpy(zero_copy_only=False).view(U)) & (np.diff(at) > 0)
+            if wanted is not None:
+                want &= _among(wanted, key)
+            if want.any():
+                take = np.repeat(want, np.diff(at))
+                yield build(np.concatenate([[0], np.cumsum(np.diff(at)[want])]), hashes[take], key[want])
+
+    return rows.mapInArrow(run, schema)
+
+
+def signature_rows(df: DataFrame, id_col: str, text_col: str, words: int, percent: int, speakers: Speakers) -> DataFrame:
+    """(signature, key, demand): one row per signature of every different set."""
+    def build(at: np.ndarray, hashes: np.ndarray, key: np.ndarray):
+        import pyarrow as pa
+        owner, sign, demand = Classes(percent).signatures(at, hashes)
+        return pa.RecordBatch.from_arrays([pa.array(_signed(sign)), pa.array(_signed(key[owner])), pa.array(demand)],
+                                          ["signature", "key", "demand"])
+
+    return _spoken_sets(df, id_col, text_col, words, speakers, None, build, "signature long, key long, demand long")
+
+
+def needed_sets(df: DataFrame, id_col: str, text_col: str, words: int, speakers: Speakers, keys: DataFrame) -> DataFrame:
+    """(key, shingles) of the different sets whose key is among ``keys`` (and a few others)."""
+    def build(at: np.ndarray, hashes: np.ndarray, key: np.ndarray):
+        import pyarrow as pa
+        sets = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(_signed(hashes)))
+        return pa.RecordBatch.from_arrays([pa.array(_signed(key)), sets], ["key", "shingles"])
+
+    only = _filter_bits(keys.select(F.col("key").alias("v")))
+    return _spoken_sets(df, id_col, text_col, words, speakers, only, build, "key long, shingles array<long>")
+
+
+def _shared(signatures: DataFrame) -> DataFrame:
+    """Rows whose signature several keys have, with the smallest of them as ``u``."""
+    same = Window.partitionBy("signature")
+    return signatures.withColumns({"u": F.min("key").over(same), "top": F.max("key").over(same)}).where("u < top").drop("top")
+
+
+def candidate_edges(signatures: DataFrame) -> DataFrame:
+    """Star edges (u, v) among the keys that have as many shared signatures as a linked pair needs."""
+    held = stored(_shared(signatures), "jaccard-shared")
+    mine = Window.partitionBy("key", "demand")  # at most as many rows as the class has segments
+    enough = held.withColumn("n", F.count("*").over(mine)).where("n >= (demand & 4294967295)")
+    return _shared(enough.select("signature", "key")).where("key <> u").select("u", F.col("key").alias("v")).distinct()
+
+
 def _tree_links(percent: int):
     """Groups of sorted rows (comp, first, second, side, key, shingles) to edges (u, v)."""
     def group(rows: list) -> list[tuple[int, int]]:
@@ -371,28 +416,25 @@ def _tree_links(percent: int):
 
 
 def _classed_rows(df: DataFrame, id_col: str, text_col: str, words: int, percent: int, block: int) -> DataFrame:
-    """(id, mark, mark_more, n_shingles, key, component_id) per row; component_id is null for empty sets."""
-    rows = stored(signed_rows(df, id_col, text_col, words, percent), "jaccard-rows")
-    least = rows.where("n_shingles > 0").groupBy("key").agg(F.min("id").alias("id"))
-    # One row of signatures per key: of equal sets, the row with the smallest id.
-    # Of equal sets, the rows with the smallest id emit; only rows whose key may be repeated are shuffled for it.
-    keyed = rows.where("n_shingles > 0").select(F.col("id").alias("i"), F.col("key").alias("h"), "signatures")
-    cells, blocks = repeated_cells(keyed, rows.count())
-    seen = flagged(keyed, stored(cells, "jaccard-cells"), blocks)
-    again = seen.where("maybe").join(least, (F.col("h") == F.col("key")) & F.col("i").eqNullSafe(F.col("id")), "left_semi")
-    one = seen.where(~F.col("maybe")).unionByName(again).select(F.col("h").alias("key"), F.explode("signatures").alias("signature"))
-    same = Window.partitionBy("signature")
-    ties = one.withColumns({"u": F.min("key").over(same), "top": F.max("key").over(same)}) \
-        .where("u < top and key <> u").select("u", F.col("key").alias("v")).distinct()
-    candidates = stored(components(stored(ties, "jaccard-ties"), "jaccard-classes")
-                        .select(F.col("node").alias("key"), "comp"), "jaccard-candidates")
+    """(id, mark, mark_more, n_shingles, key, component_id) per row; component_id is null for empty sets.
+
+    The texts are read three times: for keys, for signatures and for the sets of the candidates.
+    """
+    small_batches(df.sparkSession)
+    rows = stored(keyed_rows(df, id_col, text_col, words), "jaccard-rows")
+    least = rows.where("n_shingles > 0").groupBy("key").agg(
+        F.min("id").alias("id"), F.count("*").alias("copies"), F.min(F.struct(F.col("id").isNull(), "id", "mark")).alias("first"))
+    speakers = Speakers(least.where("copies > 1"))
+    least = least.select("key", "id")
+    ties = candidate_edges(signature_rows(df, id_col, text_col, words, percent, speakers))
+    candidates = stored(components(ties, "jaccard-classes").select(F.col("node").alias("key"), "comp"), "jaccard-candidates")
     size = candidates.groupBy("comp").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     placed = candidates.join(size, "comp").withColumn("mine", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     placed = placed.select("comp", "key", "mine", other).select(
         "comp", F.least("mine", "other").alias("first"), F.greatest("mine", "other").alias("second"),
         F.when(F.col("mine") > F.col("other"), 1).otherwise(0).alias("side"), "key")
-    sets = needed_sets(df, text_col, words, _filter_bits(candidates)).groupBy("key").agg(F.first("shingles").alias("shingles"))
+    sets = needed_sets(df, id_col, text_col, words, speakers, candidates).groupBy("key").agg(F.first("shingles").alias("shingles"))
     meet = placed.join(sets, "key").select("comp", "first", "second", "side", "key", "shingles") \
         .repartition("comp", "first", "second").sortWithinPartitions("comp", "first", "second", "side", "key")
     edges = stored(meet.mapInArrow(_tree_links(percent), "u long, v long"), "jaccard-edges")

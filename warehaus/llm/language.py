@@ -33,12 +33,15 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from warehaus.llm.common import small_batches
+
 SAMPLE_ROWS = 200
 SAMPLE_CHARS = 40_000
 MOST_LANGUAGES = 200  # bounds the model that is sent to the tasks
 UNDETERMINED = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
-MEMO_WORDS = 300_000
+MEMO_WORDS = 200_000
+SLICE_ROWS = 128
 
 
 class Automaton:
@@ -133,7 +136,6 @@ class Model:
         return np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words))
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        import pandas as pd
         words: list[str] = []
         ends = []
         for t in texts:
@@ -144,10 +146,12 @@ class Model:
         names, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
         if not words or not self.names:
             return names, scores
-        codes, unique = pd.factorize(np.array(words, dtype=object))
-        at_rows = self.rows_of(list(unique))
+        place: dict[str, int] = {}
+        codes = np.fromiter((place.setdefault(w, len(place)) for w in words), np.int64, len(words))
+        at_rows = self.rows_of(list(place))
         per_word = self.counts[at_rows]
-        held = np.cumsum(np.concatenate([np.zeros((1, len(self.names)), np.int64), per_word[codes]]), axis=0)
+        held = np.zeros((len(words) + 1, len(self.names)), np.int64)
+        np.cumsum(per_word[codes], axis=0, out=held[1:])
         at = np.array([0, *ends])
         bits = (held[at[1:]] - held[at[:-1]]) * self.costs
         best = bits.argmin(axis=1)
@@ -196,6 +200,7 @@ def identify(df: DataFrame, samples: tuple[tuple[str, str], ...], text_col: str
     ``score`` is how much shorter the winner's parse is than the second's (0 to 1).
     Input columns with those two names are replaced.
     """
+    small_batches(df.sparkSession)
     names = [c for c in (keep if keep is not None else df.columns) if c not in ("lang_pred", "score")]
     rows = df.select(*[df[c] for c in names], df[text_col].alias("__text"))
     schema = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes if n != "__text") + ", lang_pred string, score double"
@@ -205,8 +210,8 @@ def identify(df: DataFrame, samples: tuple[tuple[str, str], ...], text_col: str
         import pyarrow as pa
         model = load(sent.value)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(at, SLICE_ROWS)
                 langs, scores = model.predict(part.column(part.num_columns - 1).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [part.column(i) for i in range(len(names))] + [pa.array(langs, pa.string()), pa.array(scores, pa.float64())],

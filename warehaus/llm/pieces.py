@@ -30,9 +30,9 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from warehaus.llm.common import small_batches
 
 MARK = "▁"  # fixed value: SentencePiece's word mark
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -156,6 +156,7 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_
     the text came back (the word mark itself comes back as a space).  The model
     file is read once on the driver and sent with the task (0.5 MB).
     """
+    small_batches(df.sparkSession)
     model = _model_bytes(model_path)
     taken = {id_col, text_col, "doc_id", "ids", "n_ids", "round_trip"}
     rows = df.select(df[id_col].alias("doc_id"), *[df[c] for c in keep if c not in taken], df[text_col].alias("__text"))
@@ -186,11 +187,15 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_
 
 def decode(df: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", model_path: str = DEFAULT_MODEL) -> DataFrame:
     """(doc_id, text) from a column of ids; null ids give a null text."""
+    small_batches(df.sparkSession)
     model = _model_bytes(model_path)
+    rows = df.select(df[id_col].alias("doc_id"), df[ids_col].cast("array<int>").alias("ids"))
 
-    @F.pandas_udf("string")
-    def back(ids: pd.Series) -> pd.Series:
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
         pieces = load(model_path, model)
-        return ids.map(lambda x: None if x is None else pieces.decode(x))
+        for batch in batches:
+            texts = [None if x is None else pieces.decode(x) for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 
-    return df.select(df[id_col].alias("doc_id"), back(df[ids_col]).alias("text"))
+    return rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, text string")

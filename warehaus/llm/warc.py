@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from warehaus.llm.common import stored
+from warehaus.llm.common import small_batches, stored
 from warehaus.session import scratch_path
 
 # Fixed values of the seekable Zstandard format.
@@ -169,6 +169,7 @@ def write_archive(df: DataFrame, id_col: str, url_col: str, payload_col: str, fo
                   least_revisit: int = LEAST_REVISIT, level: int = 3) -> str:
     """Write one record per row; returns the archive's folder (``bundles/`` and ``index/``)."""
     spark = df.sparkSession
+    small_batches(spark)
     folder = folder or scratch_path(spark, "warc")
     rows = df.select(df[id_col].cast("string").alias("id"), df[id_col].alias("n"), df[url_col].alias("url"),
                      F.encode(F.coalesce(df[payload_col], F.lit("")), "UTF-8").alias("payload"))
