@@ -28,6 +28,8 @@ def norm(v):
         return round(v, 6)
     if isinstance(v, (bytes, bytearray)):
         return v.hex()
+    if isinstance(v, list):
+        return tuple(map(norm, v))
     return v
 
 
