@@ -119,6 +119,9 @@ class Model:
             out[order, k] = count + (state > 0)
         return out
 
+    def forget(self) -> None:
+        self.memo, self.counts = {}, np.zeros((1024, len(self.names)), np.int32)
+
     def rows_of(self, words: list[str]) -> np.ndarray:
         """The rows of ``counts`` that hold the words' phrases."""
         new = [w for w in words if w not in self.memo]
@@ -209,13 +212,16 @@ def identify(df: DataFrame, samples: tuple[tuple[str, str], ...], text_col: str
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         model = load(sent.value)
-        for batch in batches:
-            for at in range(0, batch.num_rows, SLICE_ROWS):
-                part = batch.slice(at, SLICE_ROWS)
-                langs, scores = model.predict(part.column(part.num_columns - 1).to_pylist())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(i) for i in range(len(names))] + [pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                    names + ["lang_pred", "score"])
+        try:
+            for batch in batches:
+                for at in range(0, batch.num_rows, SLICE_ROWS):
+                    part = batch.slice(at, SLICE_ROWS)
+                    langs, scores = model.predict(part.column(part.num_columns - 1).to_pylist())
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(i) for i in range(len(names))] + [pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
+                        names + ["lang_pred", "score"])
+        finally:
+            model.forget()  # workers live on after the task
 
     return rows.mapInArrow(run, schema)
 

@@ -106,6 +106,9 @@ class Pieces:
         ids.reverse()
         return ids
 
+    def forget(self) -> None:
+        self.memo, self.older = {}, {}
+
     def _kept(self, word: str) -> bytes:
         """The word's ids as 32-bit integers, from the older generation or computed, and kept."""
         if (ids := self.memo.get(word)) is not None:
@@ -167,20 +170,23 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         pieces = load(model_path, model)
-        for batch in batches:
-            for at in range(0, batch.num_rows, SLICE_ROWS):
-                part = batch.slice(at, SLICE_ROWS)
-                texts = part.column(part.schema.get_field_index("__text")).to_pylist()
-                found = [pieces.encode_bytes(t) for t in texts]
-                size = np.array([len(x) // 4 for x in found])
-                ids = np.frombuffer(b"".join(found), np.int32)
-                cols = [part.column(part.schema.get_field_index(n)) for n in names]
-                cols += [pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), pa.array(ids)),
-                         pa.array(size, pa.int64())]
-                if check:
-                    cols.append(pa.array([pieces.decode(array("i", x)) == (t or "").replace(MARK, " ")
-                                          for x, t in zip(found, texts, strict=True)], pa.bool_()))
-                yield pa.RecordBatch.from_arrays(cols, names + ["ids", "n_ids"] + (["round_trip"] if check else []))
+        try:
+            for batch in batches:
+                for at in range(0, batch.num_rows, SLICE_ROWS):
+                    part = batch.slice(at, SLICE_ROWS)
+                    texts = part.column(part.schema.get_field_index("__text")).to_pylist()
+                    found = [pieces.encode_bytes(t) for t in texts]
+                    size = np.array([len(x) // 4 for x in found])
+                    ids = np.frombuffer(b"".join(found), np.int32)
+                    cols = [part.column(part.schema.get_field_index(n)) for n in names]
+                    cols += [pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), pa.array(ids)),
+                             pa.array(size, pa.int64())]
+                    if check:
+                        cols.append(pa.array([pieces.decode(array("i", x)) == (t or "").replace(MARK, " ")
+                                              for x, t in zip(found, texts, strict=True)], pa.bool_()))
+                    yield pa.RecordBatch.from_arrays(cols, names + ["ids", "n_ids"] + (["round_trip"] if check else []))
+        finally:
+            pieces.forget()  # workers live on after the task
 
     return rows.mapInArrow(run, f"{kept}, ids array<int>, n_ids long{extra}")
 
