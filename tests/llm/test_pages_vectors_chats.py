@@ -108,6 +108,20 @@ def test_blocks(source, text):
     assert "\n".join(marked or rest) == text
 
 
+@pytest.mark.parametrize("source,text", [
+    ("<p>around</p><article class='post no-sidebar'><p>A</p></article>", "A"),
+    ("<article class='comments-open ad-free'><p>A</p></article><article id=related><p>B</p></article>", "A\nB"),
+    ("<p>around</p><article hidden><p>A</p></article>", "around"), ("<p>around</p><article role=banner><p>A</p></article>", "around"),
+    ("<article><section class='with-sidebar'><p>a</p></section><div class='has-right-sidebar'>b</div><div class='adFree'>c</div></article>", "a\nb\nc"),
+    ("<article><h2 class='section-header'>T</h2><p>a <math><semantics><mi>x</mi><mo>=</mo><mn>1</mn><annotation>no</annotation></semantics></math> b</p><h3 hidden>no</h3><div class='sidebar open'>no</div></article>", "T\na x=1 b"),
+    ("<article><p>a</p><div class='sidebar-with-border'>no</div><nav class='no-menu'>no</nav><math hidden>no</math></article>", "a"),
+    ("<math>no</math><main><h2 class='page-header'>T</h2><p>a</p></main><h2 class='page-header'>no</h2>", "T\na"),
+])
+def test_names_do_not_put_out_the_article(source, text):
+    marked, rest = pages.main_blocks(source)
+    assert "\n".join(marked or rest) == text
+
+
 def test_shared_is_a_longest_common_subsequence():
     rng = np.random.default_rng(2)
     for _ in range(200):
