@@ -337,6 +337,14 @@ def test_drop_near_keeps_one_of_each_group(spark):
     assert Counter(r.doc_id for r in messy.collect()) == Counter([1, 4, 5, 6, 7, None, 9, 11, 12])
 
 
+def test_drop_near_keeps_unrelated_texts_of_one_id(spark):
+    """Components are told apart by their texts: an id that stands in two of them links nothing."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(5, a, "en", "s", 1), (5, b, "en", "s", 1), (7, b + " end", "en", "s", 1), (None, c, "en", "s", 1), (None, a + " end", "en", "s", 1)]
+    got = Counter((r.doc_id, r.text) for r in jaccard.drop_near(documents(spark, rows)).collect())
+    assert got == Counter([(5, a), (5, b), (None, c)])
+
+
 # -------------------------------------------------------------- language ID
 
 def brute_phrases(word, text):

@@ -416,7 +416,9 @@ def _tree_links(percent: int):
 
 
 def _classed_rows(df: DataFrame, id_col: str, text_col: str, words: int, percent: int, block: int) -> DataFrame:
-    """(id, mark, mark_more, n_shingles, key, component_id) per row; component_id is null for empty sets.
+    """(id, mark, mark_more, n_shingles, key, comp, component_id) per row; the last two are null for empty sets.
+
+    ``comp`` names the component (several components may share a smallest id).
 
     The texts are read three times: for keys, for signatures and for the sets of the candidates.
     """
@@ -441,7 +443,7 @@ def _classed_rows(df: DataFrame, id_col: str, text_col: str, words: int, percent
     classes = components(edges, "jaccard-links").withColumnRenamed("node", "key")
     least = least.join(classes, "key", "left").select("key", "id", F.coalesce("comp", "key").alias("comp"))
     named = least.groupBy("comp").agg(F.min("id").alias("component_id")).join(least.select("key", "comp"), "comp")
-    named = named.select("key", "component_id")
+    named = named.select("key", "comp", "component_id")
     return rows.select("id", "mark", "mark_more", "n_shingles", "key").join(named, "key", "left")
 
 
@@ -457,14 +459,14 @@ def drop_near(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
     """The rows of ``df`` without near duplicates: of every component the row with the smallest id stays.
 
     Rows with an empty set all stay; rows equal in id and text stay or go
-    together.  A broadcast filter of bounded size finds the rows that may go;
-    only these are shuffled, the others pass straight through.
+    together; components that have their smallest id in common stay apart.  A
+    broadcast filter of bounded size finds the rows that may go; only these are
+    shuffled, the others pass straight through.
     """
     rows = stored(_classed_rows(df, id_col, text_col, words, percent, block).where("n_shingles > 0"), "near-rows")
-    classes = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("key "), F.col("key").cast("string")))
-    rows = rows.withColumns({"class": classes, "place": F.struct(F.col("id").isNull().alias("last"), "id", "mark", "mark_more")})
-    stays = rows.groupBy("class").agg(F.min("place").alias("least"), F.max("place").alias("most")).where("least <> most")
-    gone = stored(rows.join(stays, "class").where("place <> least").select("mark", "mark_more").distinct(), "near-gone")
+    rows = rows.withColumn("place", F.struct(F.col("id").isNull().alias("last"), "id", "mark", "mark_more"))
+    stays = rows.groupBy("comp").agg(F.min("place").alias("least"), F.max("place").alias("most")).where("least <> most")
+    gone = stored(rows.join(stays, "comp").where("place <> least").select("mark", "mark_more").distinct(), "near-gone")
     wide = df.select(F.struct("*").alias("whole"), *row_mark(df, id_col, text_col))
     bits, blocks = key_filter(gone.select(F.col("mark").alias("h")), gone.count())
     seen = flagged(wide.withColumnRenamed("mark", "h"), stored(bits, "near-bits"), blocks).withColumnRenamed("h", "mark")
