@@ -373,6 +373,21 @@ def test_language_held_out_accuracy(spark):
     assert n > 200 and right / n >= 0.99
 
 
+def test_language_of_one_word_does_not_win_other_texts(spark):
+    rows = [(i, t, "en", "s", 1) for i, t in enumerate(["the cat sat on the mat", "a dog ran to the house", "the men saw the sea"] * 5)]
+    known = language.sample(documents(spark, [*rows, (99, "ok", "aa", "s", 1)]), "doc_id", "text", "lang")
+    assert [n for n, _ in known] == ["aa", "en"]
+    got = language.Model(known).predict(["the", "the cat ran to the sea", "that house on the hill", "ok", "ok ok"])[0]
+    assert got == ["en", "en", "en", "aa", "aa"]
+
+
+def test_language_sample_passes_over_words_that_do_not_fit(spark):
+    rows = [(1, "x" * 70 + " one two", "en", "s", 1), (2, "x" * 70, "en", "s", 1), (3, "y" * 200, "zz", "s", 1), (4, "dix " + "z" * 30 + " six", "fr", "s", 1)]
+    known = dict(language.sample(documents(spark, rows), "doc_id", "text", "lang", chars=40))
+    assert set(known["en"].split()) == {"one", "two"} and known["zz"] == f" {'y' * 39} "
+    assert sum(len(w) + 1 for w in known["fr"].split()) <= 40 and len(known["fr"].split()) == 3
+
+
 def test_language_messy(spark):
     got = rows_of(language.evaluate(documents(spark, MESSY, clash=True)))
     assert len(got) == len(MESSY)

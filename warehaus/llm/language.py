@@ -4,17 +4,21 @@ For every language of a labelled sample a suffix automaton accepts all
 substrings of its text.  A text is cross-parsed against each automaton: the
 longest match from the current place is one phrase, and the parse goes on
 behind it.  c phrases against a sample of N characters cost c * log2(N) bits;
-divided by the text's length this estimates the cross entropy, and the
-language that needs the fewest normalised phrases wins (ties: the language
-first in order of code points).
+divided by the text's length this estimates the cross entropy.  N is the
+length of the largest sample for all languages, and also the price of a
+character that a sample lacks: a language with little labelled text does not
+win by cheap phrases.  The price being the same, the language that needs the
+fewest phrases wins (ties: the language first in order of code points).
 
 The parse runs over the letters: lower-cased runs of letters, each between two
 spaces, are parsed one by one, so a phrase does not cross a word's end.  The
 words of a batch are parsed side by side, one array step per character.
 
-The sample is bounded: per language, about ``sample_rows`` labelled rows picked
+The sample is bounded: of the ``MOST_LANGUAGES`` languages with most labelled
+rows, per language, about ``sample_rows`` labelled rows picked
 by a hash, and of their distinct words (those in most rows first)
-``sample_chars`` characters.  Nothing else is capped: every character of
+``sample_chars`` characters; a word that does not fit is passed over (where
+none fits, the first is cut).  Nothing else is capped: every character of
 every text is parsed.
 
 Defined results: a text that is null or without a letter is ``und`` with score
@@ -30,7 +34,7 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from warehaus.llm.common import small_batches
@@ -77,7 +81,6 @@ class Automaton:
         for s, to in enumerate(follow):
             for c, t in to.items():
                 self.table[s, letters[c]] = t
-        self.cost = float(np.log2(max(2, len(text))))
 
 
 class Model:
@@ -87,7 +90,6 @@ class Model:
         self.names = [n for n, _ in samples]
         self.letters = {c: i for i, c in enumerate(sorted({c for _, t in samples for c in t}))}
         self.parts = [Automaton(t, self.letters) for _, t in samples]
-        self.costs = np.array([a.cost for a in self.parts])
         self.memo: dict[str, int] = {}
         self.counts = np.zeros((1024, len(samples)), np.int32)
 
@@ -156,12 +158,12 @@ class Model:
         held = np.zeros((len(words) + 1, len(self.names)), np.int64)
         np.cumsum(per_word[codes], axis=0, out=held[1:])
         at = np.array([0, *ends])
-        bits = (held[at[1:]] - held[at[:-1]]) * self.costs
-        best = bits.argmin(axis=1)
+        count = held[at[1:]] - held[at[:-1]]
+        best = count.argmin(axis=1)
         for i in np.flatnonzero(at[1:] > at[:-1]):
             names[i] = self.names[best[i]]
-            rest = np.delete(bits[i], best[i])
-            scores[i] = float(1 - bits[i, best[i]] / rest.min()) if len(rest) else 1.0
+            rest = np.delete(count[i], best[i])
+            scores[i] = float(1 - count[i, best[i]] / rest.min()) if len(rest) else 1.0
         return names, scores
 
 
@@ -187,12 +189,31 @@ def sample(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, rows:
     some = known.where(part < F.element_at(share, F.col(lang_col)))
     word = F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text_col), F.lit(r"(\p{L}+)"), F.lit(1))))
     words = some.select(F.col(lang_col).alias("lang"), word.alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n"))
-    # About ``rows`` texts of a language are left; the running length bounds what is collected.
-    line = Window.partitionBy("lang").orderBy(F.desc("n"), F.xxhash64("word"), "word")
-    got = words.withColumn("upto", F.sum(F.length("word") + 1).over(line)).where(F.col("upto") <= chars).collect()
+    line = words.withColumn("h", F.xxhash64("word")).repartition("lang").sortWithinPartitions("lang", F.desc("n"), "h", "word")
+
+    def fit(batches: Iterator) -> Iterator:
+        """The words of each language that fit, in order; at most ``chars`` characters a language are collected."""
+        import pyarrow as pa
+        now = first = None
+        at = used = 0
+        out: list[tuple] = []
+        for batch in batches:
+            for lang, word in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if lang != now:
+                    if now is not None and not used:
+                        out.append((now, 0, first[:chars - 1]))
+                    now, first, at, used = lang, word, 0, 0
+                if used + len(word) + 1 <= chars:
+                    out.append((lang, at, word))
+                    at, used = at + 1, used + len(word) + 1
+        if now is not None and not used:
+            out.append((now, 0, first[:chars - 1]))
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.string()), pa.array([r[1] for r in out], pa.int64()),
+                                          pa.array([r[2] for r in out], pa.string())], ["lang", "at", "word"])
+
     by: dict[str, list] = {}
-    for r in got:
-        by.setdefault(r["lang"], []).append((r["upto"], r["word"]))
+    for r in line.select("lang", "word").mapInArrow(fit, "lang string, at long, word string").collect():
+        by.setdefault(r["lang"], []).append((r["at"], r["word"]))
     return tuple((lang, f" {' '.join(w for _, w in sorted(ws))} ") for lang, ws in sorted(by.items()))
 
 
