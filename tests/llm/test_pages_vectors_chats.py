@@ -158,6 +158,23 @@ def test_differencing_does_not_depend_on_cuts(spark, parts):
     assert {k: n for k, n in got.items() if k[0] != 1} == {k: n for k, n in want.items() if k[0] != 1}  # page 1 is its own neighbour
 
 
+def test_template_is_told_from_copies(spark):
+    """Short pages lose the lines that outweigh their text; copies on one host are paired with the next different page."""
+    menu, end = "<p>A long menu with every part of this site in it</p>", "<p>Imprint and other long lines of the site's end</p>"
+    rows = [(i, f"http://short.com/{i}", f"{menu}<p>own {i}</p>{end}") for i in range(4)]
+    rows += [(10 + i, f"http://copies.com/{i}", f"{menu}<p>{'text ' * 40}{i // 5}</p>{end}") for i in range(10)]
+    rows += [(30, "http://bare.com/a", f"{menu}{end}"), (31, "http://bare.com/b", f"{menu}<p>{'word ' * 40}</p>{end}"),
+             (40, "http://mixed.com/a", f"{menu}<article>it</article>{end}"), (41, "http://mixed.com/b", f"{menu}<p>x</p>{end}"),
+             (50, "http://near.com/a", f"{menu}<p>{'text ' * 40}</p><p>1 May</p>"), (51, "http://near.com/ab", f"{menu}<p>{'text ' * 40}</p><p>2 May</p>"),
+             (52, "http://near.com/b", f"{menu}<p>other</p>")]
+    got = {r.page_id: r.text for r in pages.extract(spark.createDataFrame(rows, PAGE).repartition(4)).collect()}
+    both = "A long menu with every part of this site in it\nImprint and other long lines of the site's end"
+    assert {i: got[i] for i in range(4)} == {i: f"own {i}" for i in range(4)}
+    assert {i: got[10 + i] for i in range(10)} == {i: f"{'text ' * 40}{i // 5}" for i in range(10)}
+    assert (got[30], got[31], got[40], got[41]) == (both, ("word " * 40).strip(), "it", "x")
+    assert (got[51], got[52]) == (f"{'text ' * 40}".strip() + "\n2 May", "other") and len(got) == len(rows)
+
+
 def test_articles_are_kept_whole(spark):
     """Pages of one site that share article passages lose none of them."""
     both = "<p>shared passage one</p><p>shared passage two</p>"
