@@ -7,9 +7,9 @@ from collections import Counter, defaultdict
 import pytest
 
 import corpus_pipeline
-from warehaus.llm import mixing, pieces
+from warehaus.llm import language, mixing, pieces
 from warehaus.llm.common import stored
-from test_documents import MESSY, brute_components, brute_targets, documents
+from test_documents import MESSY, brute_components, brute_phrases, brute_targets, documents
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -96,6 +96,29 @@ def test_language_stage_drops_only_texts_without_letters(stages):
     assert Counter(r["doc_id"] for r in dicts(stages[1])) == want
 
 
+def test_language_stage_fills_labels(spark):
+    """A missing label is the one with the fewest phrases by substring search; a given one stays, even a wrong one."""
+    some = [r for r in dicts(spark.read.parquet(f"{SMALL}/documents.parquet")) if r["lang"] and 0 < len(r["text"] or "") < 3000][:60]
+    hidden = {r["doc_id"] for r in some[::4]}
+    rows = [(r["doc_id"], r["text"], None if r["doc_id"] in hidden else r["lang"], "s", 1) for r in some]
+    rows += [(-1, some[1]["text"], "xx", "s", 1), (-2, "12 !", None, "s", 1)]
+    docs = documents(spark, rows)
+    known = language.sample(docs, "doc_id", "text", "lang")
+    want = {}
+    for i, text, lang, *_ in rows:
+        words = language.LETTERS.findall(text.lower())
+        if words:
+            want[i] = lang or min(known, key=lambda k: (sum(brute_phrases(w, k[1]) for w in words), k[0]))[0]
+    got = {r["doc_id"]: r["lang"] for r in dicts(corpus_pipeline.language_id(spark, docs, SMALL))}
+    assert got == want and got[-1] == "xx" and len(hidden & set(got)) > 5
+
+
+def test_language_stage_keeps_rows_when_nothing_is_labelled(spark):
+    rows = [(1, "some words", None, "a", 1), (2, "12 !", None, "a", 1), (3, None, "en", "a", 1), (4, "中文", None, "a", 1)]
+    got = dicts(corpus_pipeline.language_id(spark, documents(spark, rows), SMALL))
+    assert {r["doc_id"]: r["lang"] for r in got} == {1: "und", 4: "und"}
+
+
 def test_exact_stage(stages):
     last = {}
     for r in dicts(stages[1]):
