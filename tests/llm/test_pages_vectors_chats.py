@@ -309,6 +309,19 @@ def test_viterbi_equals_all_paths():
     assert (first[:, None] + m).max() == pytest.approx(value(best))
 
 
+def test_transitions_of_repeated_rows_and_null_conversations(spark):
+    """Every row of a turn counts with every row of the next one, also in the null conversation, without a pair per row."""
+    user, bot = "User: a\nb", "Assistant: c"
+    rows = [(None, 0, "user", user), (None, 1, "assistant", bot), (2, 0, "user", user), (2, 1, "assistant", bot), (2, 1, "assistant", bot), (2, 2, "user", "x")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = chat.learn(chat.lines_of(df, "conv_id", "turn", "text", F.col("role")))
+    want = chat.Model({2: 2}, {(3, 4): 3, (4, 2): 2, (2, 3): 2}, {})
+    assert np.allclose(got.move, want.move) and np.allclose(got.start, want.start)
+    many = spark.range(400_000).selectExpr("7L as conv", "id % 2 as turn", "id as row", "0 as line", "cast(2 - id % 2 as int) as role", "0 as marker",
+                                           "0 as length", "0 as question", "0 as item")
+    assert chat.learn(many).move[4, 2] == pytest.approx(np.log(2e5 * 2e5 / (2e5 * 2e5 + 2)), abs=1e-6)
+
+
 @pytest.mark.parametrize("line,marker,text", [
     ("User: hi", "user", "hi"), ("### Assistant", "assistant", ""), ("<|system|> be kind", "system", "be kind"), ("[BOT] yes", "assistant", "yes"),
     ("**Human**: so?", "user", "so?"), ("Kim: hello", "name", "hello"), ("> quoted", "quote", "quoted"), ("no marker: here", "none", "no marker: here"),

@@ -166,15 +166,18 @@ def learn(lines: DataFrame) -> Model:
         for f in FEATURES:
             seen[f][r["state"], r[f]] = seen[f].get((r["state"], r[f]), 0) + r["n"]
     turns = known.groupBy("conv", "turn", "row", "role").agg(F.max("line").alias("further"))
-    a = turns.select("conv", F.col("turn").alias("at"), F.col("role").alias("r"), F.col("further").alias("f"))
-    b = turns.select("conv", (F.col("turn") - 1).alias("at"), F.col("role").alias("s"))
+    # Counts of repeated rows are multiplied, not paired: at most 18 pairs per conversation and turn.
+    held = turns.groupBy("conv", "turn", "role", F.least("further", F.lit(1)).alias("f")).agg(F.count("*").cast("double").alias("n"))
+    a = held.select(F.col("conv").alias("c"), F.col("turn").alias("at"), F.col("role").alias("r"), "f", "n")
+    b = held.groupBy("conv", "turn", "role").agg(F.sum("n").alias("m")).select("conv", (F.col("turn") - 1).alias("before"), F.col("role").alias("s"), "m")
+    pairs = a.join(b, F.col("c").eqNullSafe(F.col("conv")) & (F.col("at") == F.col("before")))
     move: dict[tuple[int, int], float] = {}
 
     def count(i: int, j: int, n: float) -> None:
         move[i, j] = move.get((i, j), 0) + n
 
-    for r in a.join(b, ["conv", "at"]).groupBy("r", "s", F.least("f", F.lit(1)).alias("f")).count().collect():
-        count(2 * r["r"] + r["f"], 2 * r["s"], r["count"])
+    for r in pairs.groupBy("r", "s", "f").agg(F.sum(F.col("n") * F.col("m")).alias("n")).collect():
+        count(2 * r["r"] + r["f"], 2 * r["s"], r["n"])
     for r in turns.groupBy("role").agg(F.sum(F.least("further", F.lit(1))).alias("one"), F.sum("further").alias("all")).collect():
         count(2 * r["role"], 2 * r["role"] + 1, r["one"])
         count(2 * r["role"] + 1, 2 * r["role"] + 1, r["all"] - r["one"])
