@@ -18,6 +18,9 @@ CONTRACT = {
     "op8_html_text": "page_id url text n_chars",
     "op9_neighbours": "query_id rank vec_id score",
     "op10_mixing": "doc_id size source_size target taken",
+    "op11_merkle": "doc_id leaf subroot root proof_sha256 folded_root verified",
+    "op12_prefix_trie": "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
+    "op13_quality": "doc_id held_out score predicted",
 }
 
 

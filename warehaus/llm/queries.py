@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from warehaus.llm import chat, exact_dedup, jaccard, language, licenses, mixing, neighbours, pages, pieces, sql, warc
+from warehaus.llm import chat, exact_dedup, jaccard, language, licenses, merkle, mixing, neighbours, pages, pieces, quality, sql, tries, warc
 from warehaus.llm.common import table
 
 
@@ -52,8 +52,23 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    return merkle.manifest(table(spark, sf_dir, "documents"), tamper=tampered)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tries.prefix_trie(tries.rebuilt(table(spark, sf_dir, "conversations")))
+
+
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.evaluate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc, op2_chat, op3_license_scan, op4_exact_dedup, op5_sentencepiece, op6_ngram_jaccard, op7_language, op8_html_text, op9_neighbours, op10_mixing)}
+    found = (op1_warc, op2_chat, op3_license_scan, op4_exact_dedup, op5_sentencepiece, op6_ngram_jaccard, op7_language,
+             op8_html_text, op9_neighbours, op10_mixing, op11_merkle, op12_prefix_trie, op13_quality)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:

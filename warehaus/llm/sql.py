@@ -19,7 +19,6 @@ select doc_id, max(doc_id) over (partition by h) as keep_id, count(*) over (part
 from t
 """
 
-
 OP6 = """
 with recursive w as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -110,5 +109,71 @@ from l join w on l.place = w.place and l.shard = w.party
 """
 
 
+#: CRC-32 of the decimal text ``{}``, bit by bit.
+CRC32 = """xor(list_reduce(list_prepend(cast(4294967295 as bigint), list_transform(regexp_extract_all({}, '.'), lambda c: cast(ascii(c) as bigint))),
+  lambda a, x: list_reduce(list_prepend(xor(a, x), [cast(0 as bigint) for z in range(8)]),
+    lambda c, z: xor(c >> 1, (c & 1) * 3988292384))), 4294967295)"""
+
+OP11 = """
+with recursive d as (
+  select doc_id, lang, n_chars, sha256(p_id || p_source || p_lang || coalesce(strlen(n) || ':' || n, '-') || p_text) as leaf,
+    sha256(p_id || p_source || p_lang || coalesce(strlen(m) || ':' || m, '-') || p_text) as changed,
+    coalesce(@crc % 7 = 0, false) as tampered
+  from (select *, coalesce(strlen(cast(doc_id as varchar)) || ':' || doc_id, '-') as p_id, coalesce(strlen(source) || ':' || source, '-') as p_source,
+      coalesce(strlen(lang) || ':' || lang, '-') as p_lang, coalesce(strlen(text) || ':' || text, '-') as p_text,
+      cast(n_chars as varchar) as n, cast(cast(n_chars as hugeint) + 1 as varchar) as m from documents)),
+l as (select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as pos,
+  count(*) over (partition by lang) as n from d),
+t as (select lang, 0 as level, pos, n, leaf as h from l
+  union all select lang, level + 1, pos // 2, (max(n) + 1) // 2, sha256(string_agg(h, '' order by pos)) from t
+  where n > 1 group by lang, level, pos // 2),
+g as (select lang, h, row_number() over (order by encode(lang) nulls first) - 1 as pos, count(*) over () as n from t where n = 1),
+u as (select 0 as level, pos, n, h from g
+  union all select level + 1, pos // 2, (max(n) + 1) // 2, sha256(string_agg(h, '' order by pos)) from u
+  where n > 1 group by level, pos // 2),
+r as (select h as root from u where n = 1),
+ls as (select l.doc_id, l.lang, l.pos, t.level, t.pos & 1 as side, b.h as beside from l
+  join t on t.lang is not distinct from l.lang and t.pos = l.pos >> t.level and t.n > 1
+  left join t b on b.lang is not distinct from t.lang and b.level = t.level and b.pos = xor(t.pos, 1)),
+us as (select g.lang, u.level + 1000 as level, u.pos & 1 as side, b.h as beside from g
+  join u on u.pos = g.pos >> u.level and u.n > 1 left join u b on b.level = u.level and b.pos = xor(u.pos, 1)),
+s as (select lang, pos, level, side, beside from ls
+  union all select l.lang, l.pos, us.level, side, beside from l join us on us.lang is not distinct from l.lang),
+p as (select lang, pos, list(case when beside is null then '=' when side = 1 then '<' || beside else '>' || beside end order by level) as path
+  from s group by lang, pos),
+f as (select l.*, coalesce(path, []) as path, g.h as subroot, root from l left join p on p.lang is not distinct from l.lang and p.pos = l.pos
+  join g on g.lang is not distinct from l.lang cross join r),
+o as (select *, list_reduce(list_prepend(case when tampered and n_chars is not null then changed else leaf end, path),
+  lambda a, x: sha256(case x[1] when '=' then a when '<' then x[2:] || a else a || x[2:] end)) as folded_root from f)
+select doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(path, lambda x: x[2:]), '')) as proof_sha256,
+  folded_root, folded_root = root as verified
+from o
+""".replace("@crc", CRC32.format("cast(doc_id as varchar)"))
+
+
+OP12 = """
+with t as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null),
+o as (select conv_id, list({'r': role, 't': text} order by turn nulls first, sha256(strlen(role) || ':' || role || text)) as l
+  from t group by conv_id),
+h as (select *, @crc % 4 as h from o),
+c as (select h.conv_id, list_concat(coalesce(b.l[1:h.h], []), h.l[h.h + 1:]) as l
+  from h left join o b on b.conv_id = h.conv_id - h.conv_id % 20),
+m as (select conv_id, len(l) as turns, l, unnest(range(0, len(l) + 1)) as depth from c),
+n as (select l[1:depth] as path, depth, min(conv_id) as conv_id, count(*) as n_convs,
+    len(regexp_extract_all(coalesce(l[1:depth][depth].t, ''), '[^\\x20\\x09-\\x0D]+')) as words,
+    sha256(coalesce(string_agg(case when depth = turns then conv_id end, ',' order by conv_id), '')) as ends_sha256
+  from m group by 1, 2, words),
+k as (select path[1:depth - 1] as path, depth - 1 as depth, count(*) as n_children from n where depth > 0 group by 1, 2),
+s as (select n.*, coalesce(n_children, 0) as n_children from n left join k on k.path = n.path and k.depth = n.depth),
+u as (select path, depth, n_children, (n_convs - 1) * words as saved, unnest(range(0, depth + 1)) as up from s),
+f as (select path[1:up] as path, up as depth, count(*) filter (n_children = 0) as n_leaves, sum(saved) as saved from u group by 1, 2)
+select s.conv_id, cast(s.depth as bigint) as depth, p.conv_id as parent_conv_id, s.n_convs, s.n_children, f.n_leaves,
+  cast(f.saved as bigint) as saved_tokens, s.ends_sha256
+from s join f on f.path = s.path and f.depth = s.depth
+left join n p on s.depth > 0 and p.depth = s.depth - 1 and p.path = s.path[1:s.depth - 1]
+""".replace("@crc", CRC32.format("cast(conv_id as varchar)"))
+
+
 def queries() -> dict[str, str]:
-    return {"op1_warc": OP1, "op3_license_scan": op3(), "op4_exact_dedup": OP4, "op6_ngram_jaccard": OP6, "op10_mixing": op10()}
+    return {"op1_warc": OP1, "op3_license_scan": op3(), "op4_exact_dedup": OP4, "op6_ngram_jaccard": OP6, "op10_mixing": op10(),
+            "op11_merkle": OP11, "op12_prefix_trie": OP12}
