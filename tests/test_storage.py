@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from warehaus.batch import Batch
+from warehaus.plans.lease import LeaseHeld, lease
 from warehaus.plans.storage import TableStore
 from warehaus.sources.tables import SPREAD_CONF, spread
 
@@ -99,6 +100,94 @@ def test_unreadable_table_raises(spark, tmp_root):
         store.read("other")
 
 
+class Stop(Exception):
+    pass
+
+
+def stops_after(monkeypatch, store_class, method, calls):
+    """Let ``method`` run ``calls`` times and then stop the program there."""
+    real, seen = getattr(store_class, method), []
+
+    def wrapped(self, *args):
+        if len(seen) == calls:
+            raise Stop
+        seen.append(args)
+        return real(self, *args)
+
+    monkeypatch.setattr(store_class, method, wrapped)
+
+
+def history(spark, *r):
+    return spark.createDataFrame([(i, x, a, dt.date(2005, 6, 10) if a == 0 else None) for i, x, a in r],
+                                 "id long, x int, dw_active_record_ind int, update_etl_batch_date date")
+
+
+@pytest.mark.parametrize("method,calls", [("_move", 0), ("_move", 1), ("_delete", 0), ("_delete", 1), ("_delete", 2)])
+def test_stopped_replacement_is_completed_on_the_next_open(spark, tmp_root, monkeypatch, method, calls):
+    """``active`` and ``closed`` are replaced one after the other: a row just closed is in one of them after any stop."""
+    store = TableStore(spark, f"{tmp_root}/wh")
+    store.create("x_history", history(spark, (1, 10, 1), (2, 20, 1)))
+    new = history(spark, (1, 10, 0), (1, 11, 1), (2, 20, 1))
+    stops_after(monkeypatch, TableStore, method, calls)
+    with pytest.raises(Stop):
+        store.write_parts("x_history", new)
+    monkeypatch.undo()
+    want = [(1, 10), (1, 11), (2, 20)]
+    assert content(TableStore(spark, f"{tmp_root}/wh").read("x_history")) == want
+    again = TableStore(spark, f"{tmp_root}/wh")
+    assert again._names(f"{again.root}/_pending/x_history") == [] and content(again.write_parts("x_history", new)) == want
+
+
+def test_stopped_store_completes_before_its_next_use(spark, tmp_root, monkeypatch):
+    store = TableStore(spark, f"{tmp_root}/wh")
+    store.create("t", rows(spark, (1, 0, 1), (2, 0, 2), (3, 0, 3)))
+    stops_after(monkeypatch, TableStore, "_move", 1)
+    with pytest.raises(Stop):
+        store.write_parts("t", rows(spark, (1, 9, 1), (2, 9, 2)), emptied=["2005-03"])
+    monkeypatch.undo()
+    assert store.parts("t") == ["2005-01", "2005-02"] and content(store.read("t")) == [(1, 9), (2, 9)]
+
+
+def test_replacement_without_folder_renames(spark, tmp_root, monkeypatch):
+    """Where a rename is no single step, a job copies the pending rows; stopped before it ends, it is done again."""
+    store = TableStore(spark, f"{tmp_root}/wh", rename=False)
+    store.create("t", rows(spark, (1, 0, 1), (2, 0, 2)))
+    stops_after(monkeypatch, TableStore, "_delete", 0)
+    with pytest.raises(Stop):
+        store.write_parts("t", rows(spark, (1, 9, 1)), emptied=["2005-02"])
+    monkeypatch.undo()
+    assert content(TableStore(spark, f"{tmp_root}/wh", rename=False).read("t")) == [(1, 9)]
+
+
+def test_write_without_a_record_is_dropped(spark, tmp_root, monkeypatch):
+    store = TableStore(spark, f"{tmp_root}/wh")
+    store.create("t", rows(spark, (1, 0, 1)))
+    stops_after(monkeypatch, TableStore, "_note", 0)
+    with pytest.raises(Stop):
+        store.write_parts("t", rows(spark, (1, 9, 1)))
+    monkeypatch.undo()
+    again = TableStore(spark, f"{tmp_root}/wh")
+    assert content(again.read("t")) == [(1, 0)] and len(again._names(f"{again.root}/_pending/t")) == 1
+    again.drop_unfinished()
+    assert again._names(f"{again.root}/_pending/t") == []
+
+
+def test_lease_admits_one_run(spark, tmp_root):
+    with lease(spark, f"{tmp_root}/wh", "batch 7"):
+        with pytest.raises(LeaseHeld, match="batch 7"), lease(spark, f"{tmp_root}/wh", "batch 8"):
+            pass
+        with lease(spark, f"{tmp_root}/other", "batch 8"):
+            pass
+    with pytest.raises(Stop), lease(spark, f"{tmp_root}/wh", "batch 7"):
+        raise Stop
+    with lease(spark, f"{tmp_root}/wh", "batch 8"):  # released by the error
+        # a dead driver's lease is taken over, and its late end leaves the new one alone
+        with lease(spark, f"{tmp_root}/wh", "batch 9", take_over=True):
+            pass
+        with lease(spark, f"{tmp_root}/wh", "batch 10"):
+            pass
+
+
 def test_state_before_a_batch(spark, tmp_root):
     store = TableStore(spark, f"{tmp_root}/wh")
     schema = rows(spark, (1, 0, 1)).schema

@@ -63,11 +63,32 @@ def blank_as_null(c: Column) -> Column:
     return F.when(c.rlike(BLANK_PATTERN), F.lit(None).cast("string")).otherwise(c)
 
 
-def truncate_to(c: Column, width: int | None) -> Column:
-    """Cut to the declared width in characters (TRUNCATECOLUMNS)."""
-    return c if not width else F.substring(c, 1, int(width))
+# The well-formed UTF-8 sequences, one ISO-8859-1 character per byte.
+UTF8_SEQUENCE = ("[\\x{0}-\\x{7F}]|[\\x{C2}-\\x{DF}][\\x{80}-\\x{BF}]|\\x{E0}[\\x{A0}-\\x{BF}][\\x{80}-\\x{BF}]"
+                 "|[\\x{E1}-\\x{EC}\\x{EE}\\x{EF}][\\x{80}-\\x{BF}]{2}|\\x{ED}[\\x{80}-\\x{9F}][\\x{80}-\\x{BF}]"
+                 "|\\x{F0}[\\x{90}-\\x{BF}][\\x{80}-\\x{BF}]{2}|[\\x{F1}-\\x{F3}][\\x{80}-\\x{BF}]{3}"
+                 "|\\x{F4}[\\x{80}-\\x{8F}][\\x{80}-\\x{BF}]{2}")
+HIGH = "[\\x{80}-\\x{FF}]"
 
 
-def accept_invalid_chars(c: Column, replacement: str = "?") -> Column:
-    """Invalid input bytes (read as U+FFFD) -> ``replacement`` (ACCEPTINVCHARS)."""
-    return F.replace(c, F.lit(REPLACEMENT), F.lit(replacement))
+def accept_invalid_bytes(c: Column, replacement: str = "?") -> Column:
+    """Byte text (one ISO-8859-1 character per byte) with every byte outside a UTF-8 sequence replaced (ACCEPTINVCHARS).
+
+    A match is the longest run of whole sequences from where the last one
+    ended, and the byte that breaks it; possessive, so its cost is linear.
+    """
+    return F.when(c.rlike(HIGH), F.regexp_replace(c, f"\\G((?:{UTF8_SEQUENCE})*+){HIGH}", "$1" + replacement)).otherwise(c)
+
+
+def truncate_bytes(c: Column, width: int | None) -> Column:
+    """Byte text of whole sequences cut to a width in bytes, back to a character's start (TRUNCATECOLUMNS)."""
+    if not width:
+        return c
+    cut = F.substring(c, 1, int(width))
+    inside = F.substring(c, int(width) + 1, 1).rlike("[\\x{80}-\\x{BF}]")
+    return F.when(inside, F.regexp_replace(cut, "[\\x{C0}-\\x{FF}][\\x{80}-\\x{BF}]*$", "")).otherwise(cut)
+
+
+def from_bytes(c: Column) -> Column:
+    """Byte text of whole sequences -> the text they spell."""
+    return F.when(c.rlike(HIGH), F.encode(c, "ISO-8859-1").cast("string")).otherwise(c)

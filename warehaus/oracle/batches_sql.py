@@ -16,6 +16,7 @@ from warehaus.oracle.ingest_sql import stage_load_sql
 from warehaus.oracle.summary_sql import (MONTHLY_CUSTOMER_COLUMNS, MONTHLY_PRODUCT_COLUMNS, batch_stamp, daily_customer_final,
                                          daily_product_final, merge_sql, monthly_customer_delta, monthly_product_delta)
 from warehaus.oracle.upsert_sql import employees_fk_sql, insert_sql, prepared_sql, update_sql
+from warehaus.plans.warehouse import schema_of
 from warehaus.schemas import LOAD_ORDER, TABLES, history_schema
 
 # (number, date, run timestamp); 2566 days lie between 1998-06-01 and 2005-06-10.
@@ -102,12 +103,33 @@ def _chain() -> None:
 _chain()
 
 
+def _row_text(t: str) -> str:
+    def one(f):
+        text = f"strftime({f.name}, '%Y-%m-%d %H:%M:%S.%f')" if isinstance(f.dataType, TimestampNTZType) else f"cast({f.name} as varchar)"
+        return f"coalesce({text}, '~')"
+    return "concat_ws('|', " + ", ".join(one(f) for f in schema_of(t).fields) + ")"
+
+
+def _changes(t: str) -> str:
+    spec = TABLES[t]
+    key = ", ".join(f"coalesce(cast({k} as varchar), '-')" for k in spec.key)
+    there = " and ".join(f"b.{c} is not distinct from s.{c}" for c in spec.stage.names)
+    return (f"SELECT '{t}' AS table_name, concat_ws('/', {key}) AS row_key, update_timestamp FROM snap8_{t} AS s "
+            f"WHERE {' or '.join(f'{k} is null' for k in spec.key)} or not exists (select 1 from snap7_{t} AS b where {there})")
+
+
 def queries() -> dict[str, str]:
     q = {f"etl_two_batches_{t}": f"SELECT * FROM after8_{t}" for t in (*LOAD_ORDER, "product_history", "customer_history")}
     for kind in ("customer", "product"):
         q[f"etl_two_batches_daily_{kind}_summary"] = f"SELECT * FROM {kind}_days7 UNION ALL SELECT * FROM {kind}_days8"
         q[f"etl_two_batches_monthly_{kind}_summary"] = f"SELECT * FROM {kind}_months8"
-    q["etl_two_batches"] = q["etl_two_batches_monthly_customer_summary"]
+    q["etl_two_batches"] = " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS n_rows, "
+        f"cast(coalesce(sum(cast('0x' || substr(md5({_row_text(t)}), 1, 8) AS bigint)), 0) AS bigint) AS digest "
+        f"FROM ({q[f'etl_two_batches_{t}']}) AS r" for t in (
+            *LOAD_ORDER, "product_history", "customer_history", "daily_customer_summary", "daily_product_summary",
+            "monthly_customer_summary", "monthly_product_summary"))
+    q["snapshot_changes"] = " UNION ALL ".join(_changes(t) for t in LOAD_ORDER)
     q["snapshot_rows"] = " UNION ALL ".join(
         f"SELECT '{day}' AS batch_date, '{t}' AS table_name, count(*) AS n_rows FROM snap{b}_{t}"
         for b, day, _ in BATCHES for t in LOAD_ORDER)

@@ -6,7 +6,14 @@ from warehaus.oracle.base import sql_type
 from warehaus.oracle.fixtures_sql import CTES
 from warehaus.oracle.text_sql import clean_text_sql, latin1_misread_sql
 from warehaus.schemas import LOAD_ORDER, TABLES
-from warehaus.plans.ingest import DATE_RENDERINGS, TIMESTAMP_RENDERINGS, TRUNCATE_WIDTHS
+
+# Fixed values, stated here on their own: the renderings and the widths in bytes.
+DATE_RENDERINGS = ("yyyy-MM-dd", "yyyy/MM/dd", "MM/dd/yyyy", "M/d/yyyy", "yyyyMMdd", "dd-MMM-yyyy", "dd-MMM-yy",
+                   "dd.MM.yyyy", "MMM d, yyyy", "MMM-dd-yyyy")
+TIMESTAMP_RENDERINGS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss'Z'",
+                        "yyyy-MM-dd HH:mm:ss'+00'", "MM/dd/yyyy HH:mm:ss", "MM/dd/yyyy hh:mm:ss a", "yyyyMMdd HHmmss",
+                        "dd-MMM-yyyy HH:mm:ss")
+TRUNCATE_WIDTHS = {"text": 1000, "source": 4}
 
 BLANK = "'^[ \\t\\n\\x0B\\f\\r]*$'"
 
@@ -16,8 +23,13 @@ def blank_null(e: str) -> str:
 
 
 def stage_text(e: str, width: int | None = None) -> str:
-    v = f"replace({blank_null(e)}, chr(65533), '?')"
-    return f"substring({v}, 1, {width})" if width else v
+    return cut_sql(blank_null(e), width) if width else blank_null(e)
+
+
+def cut_sql(e: str, width: int) -> str:
+    """The longest start of a text that takes at most ``width`` bytes: it decodes, up to three bytes shorter ones do not."""
+    tries = ", ".join(f"try(decode(array_slice(encode({e}), 1, {width - i})))" for i in range(4))
+    return f"coalesce({tries})"
 
 
 def extract_sql(t: str) -> str:

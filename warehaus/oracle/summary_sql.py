@@ -188,6 +188,25 @@ def merge_sql(prior: str, delta: str, id_col: str, layout, stamp) -> str:
             f"FROM ({updated} UNION ALL {inserted}) AS merged")
 
 
+# Fixed values, stated on their own: day-count column and the daily measure that makes a day active.
+ACTIVE = {"customer": {"order_apm": "1", "cancelled_order_apm": "cancelled_order_count", "shipped_order_apm": "shipped_order_count",
+                       "payment_apm": "payment_amount", "new_customer_apm": "new_customer_apd",
+                       "new_customer_paid_apm": "new_customer_paid_apd"},
+          "product": {"customer_apm": "1", "cancelled_order_apm": "cancelled_order_apd"}}
+
+
+def merge_days_sql(subject: str, merged: str, layout) -> str:
+    """The merged month with every active day counted once, straight from the daily rows of both batches."""
+    id_col = f"dw_{subject}_id"
+    rows = (f"SELECT * FROM daily_{subject}_b6 WHERE summary_date < DATE '1998-06-15' AND etl_batch_date >= DATE '1998-05-01' "
+            f"UNION ALL SELECT * FROM daily_{subject}_hist WHERE etl_batch_date >= DATE '1998-06-01'")
+    days = ", ".join(f"COUNT(DISTINCT CASE WHEN {m} > 0 THEN summary_date END) AS {c}" for c, m in ACTIVE[subject].items())
+    counted = (f"SELECT CAST(date_trunc('month', summary_date) AS DATE) AS month, {id_col}, {days} FROM ({rows}) AS r GROUP BY 1, 2")
+    cols = ", ".join(f"coalesce(c.{n}, g.{n}) AS {n}" if n in ACTIVE[subject] else f"g.{n}" for n, _ in layout)
+    return (f"SELECT {cols}, g.dw_create_timestamp, g.dw_update_timestamp, g.etl_batch_no, g.etl_batch_date FROM ({merged}) AS g "
+            f"LEFT JOIN ({counted}) AS c ON c.month = g.start_of_the_month_date AND c.{id_col} = g.{id_col}")
+
+
 def queries() -> dict[str, str]:
     q = {}
     for name, sql in customer_blocks("1998-06-01").items():
@@ -202,4 +221,6 @@ def queries() -> dict[str, str]:
                                             "dw_customer_id", MONTHLY_CUSTOMER_COLUMNS, B7)
     q["monthly_product_merge"] = merge_sql("monthly_product_prior", "monthly_product_delta_b7",
                                            "dw_product_id", MONTHLY_PRODUCT_COLUMNS, B7)
+    q["monthly_customer_merge_days"] = merge_days_sql("customer", q["monthly_customer_merge"], MONTHLY_CUSTOMER_COLUMNS)
+    q["monthly_product_merge_days"] = merge_days_sql("product", q["monthly_product_merge"], MONTHLY_PRODUCT_COLUMNS)
     return {k: CTES.build(v) for k, v in q.items()}

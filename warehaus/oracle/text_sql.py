@@ -34,8 +34,7 @@ def clean_text_sql(expr: str) -> str:
             f"lambda t: {decode}), ''), '')")
 
 
-# Well-formed sequences, then the malformed units a Java UTF-8 decoder replaces
-# as one: an encoded surrogate (ED A0-BF xx) and truncated sequence prefixes.
+# Well-formed sequences, else single bytes.
 _UNITS = ("(?s)("
           "[\\x{C2}-\\x{DF}][\\x{80}-\\x{BF}]"
           "|\\x{E0}[\\x{A0}-\\x{BF}][\\x{80}-\\x{BF}]"
@@ -44,16 +43,12 @@ _UNITS = ("(?s)("
           "|\\x{F0}[\\x{90}-\\x{BF}][\\x{80}-\\x{BF}]{2}"
           "|[\\x{F1}-\\x{F3}][\\x{80}-\\x{BF}]{3}"
           "|\\x{F4}[\\x{80}-\\x{8F}][\\x{80}-\\x{BF}]{2}"
-          "|\\x{ED}[\\x{A0}-\\x{BF}][\\x{80}-\\x{BF}]"
-          "|\\x{E0}[\\x{A0}-\\x{BF}]|[\\x{E1}-\\x{EC}\\x{EE}\\x{EF}][\\x{80}-\\x{BF}]|\\x{ED}[\\x{80}-\\x{9F}]"
-          "|\\x{F0}[\\x{90}-\\x{BF}][\\x{80}-\\x{BF}]?|[\\x{F1}-\\x{F3}][\\x{80}-\\x{BF}]{1,2}"
-          "|\\x{F4}[\\x{80}-\\x{8F}][\\x{80}-\\x{BF}]?"
           "|.)")
 
 
 def latin1_misread_sql(expr: str) -> str:
     """Text written as ISO-8859-1 (unmappable -> '?') and read back as UTF-8,
-    each malformed unit replaced by '?'."""
+    each byte outside a well-formed sequence replaced by '?'."""
     latin1 = f"regexp_replace({expr}, '[^\\x{{0}}-\\x{{FF}}]', '?', 'g')"
     well_formed = (
         "(length(t) = 2 AND unicode(t[1]) BETWEEN 194 AND 223) "

@@ -104,7 +104,16 @@ def queries() -> dict[str, str]:
         q[f"insert_new_{t}"] = insert_sql(spec)
         q[f"update_newer_{t}"] = update_sql(spec, True)
         q[f"upsert_{t}"] = f"{update_sql(spec, False)} UNION ALL {insert_sql(spec)}"
+    for t in ("orders", "orderdetails"):
+        q[f"upsert_{t}_bucketed"] = q[f"upsert_{t}"]
     q["upsert_employees"] = employees_fk_sql("upserted_employees")
+    filled = {c: f"b.{c}" for c in TABLES["orderdetails"].dw_columns}
+    filled["dw_order_id"] = "coalesce(b.dw_order_id, o.dw_order_id)"
+    filled["dw_product_id"] = "coalesce(b.dw_product_id, p.dw_product_id)"
+    q["fk_repair_orderdetails"] = (
+        f"SELECT {_typed(TABLES['orderdetails'], filled)} FROM ({insert_sql(TABLES['orderdetails'])}) AS b "
+        f"LEFT JOIN ({insert_sql(TABLES['orders'])}) AS o ON o.src_ordernumber = b.src_ordernumber "
+        f"LEFT JOIN ({insert_sql(TABLES['products'])}) AS p ON p.src_productcode = b.src_productcode")
     for t in ("products", "orders", "orderdetails", "payments"):
         q[f"fk_{t}"] = f"SELECT * FROM prep_{t}"
     spec = TABLES["employees"]

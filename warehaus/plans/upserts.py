@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from warehaus.operators.lookup import backfill_office, resolve_manager
+from warehaus.operators.repair import repair_fk
 from warehaus.operators.surrogate import assign_surrogate_keys
 from warehaus.operators.upsert import classify, insert_new, prepare_stage, update_newer, upsert
+from warehaus.plans.bucketed import BucketedStore
+from warehaus.plans.warehouse import load_table
 from warehaus.schemas import LOAD_ORDER, TABLES
+from warehaus.session import scratch_path
 from warehaus.sources.fixtures import BATCH, Fixtures
 
 
@@ -40,6 +44,23 @@ def upsert_table(fx: Fixtures, table: str) -> DataFrame:
     return out
 
 
+def repaired_orderdetails(fx: Fixtures) -> DataFrame:
+    """Lines inserted before their new orders, then filled by the orders that the batch inserts."""
+    spec = TABLES["orderdetails"]
+    parents = {"orders": insert_new_rows(fx, "orders"), "products": insert_new_rows(fx, "products")}
+    return repair_fk(insert_new_rows(fx, "orderdetails"), parents, spec.lookups)
+
+
+def upsert_bucketed(fx: Fixtures, table: str, buckets: int = 16) -> DataFrame:
+    """A table's upsert in a store that keeps it bucketed on its natural key."""
+    spec = TABLES[table]
+    store = BucketedStore(fx.spark, scratch_path(fx.spark, "bucketed"), {table: buckets})
+    store.create(table, store.by_key(table, fx.dw(table), spec.dw_key))
+    for lk in spec.lookups:
+        store.create(lk.dimension, lookup_dims(fx)[lk.dimension])
+    return load_table(store, table, fx.stage(table), BATCH)
+
+
 def _q(fn, *args):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(Fixtures(spark, sf_dir), *args)
@@ -56,6 +77,9 @@ def queries() -> dict:
         q[f"fk_{t}"] = _q(prepared, t)
     q["fk_employees_manager"] = _q(lambda fx: resolve_manager(fx.dw_employees))
     q["fk_employees_office"] = _q(lambda fx: backfill_office(fx.dw_employees, fx.dw_offices))
+    for t in ("orders", "orderdetails"):
+        q[f"upsert_{t}_bucketed"] = _q(upsert_bucketed, t)
+    q["fk_repair_orderdetails"] = _q(repaired_orderdetails)
     q["surrogate_keys"] = _q(lambda fx: assign_surrogate_keys(
         fx.stg_orders.select("ordernumber", "customernumber", "orderdate"),
         "dw_order_id", ["ordernumber"], start=0))

@@ -68,7 +68,13 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{_scratch_root(spark)}/{purpose}/{uuid.uuid4().hex}"
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) as Hadoop objects."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def clean_scratch(spark: SparkSession) -> None:
     """Delete everything this application wrote to its scratch folders (at the end of a job)."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    fs, p = hadoop_path(spark, _scratch_root(spark))
+    fs.delete(p, True)

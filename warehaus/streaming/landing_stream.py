@@ -22,7 +22,7 @@ def stage_stream(spark: SparkSession, landing_dir: str, schema: StructType, out_
     raw_schema = StructType([StructField(c, StringType()) for c in schema.names]
                             + [StructField(CORRUPT, StringType())])
     raw = (spark.readStream.schema(raw_schema).options(**READ_OPTIONS)
-           .option("maxFilesPerTrigger", max_files_per_trigger).csv(landing_dir))
+           .option("maxFilesPerTrigger", max_files_per_trigger).option("recursiveFileLookup", "true").csv(landing_dir))
     parsed = parse_landing(raw, schema, widths)
     query = (parsed.writeStream.format("parquet").partitionBy(REJECTED)
              .option("checkpointLocation", checkpoint).trigger(availableNow=True)
