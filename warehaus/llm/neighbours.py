@@ -9,7 +9,7 @@ chi-square law with ``dims`` degrees of freedom.
 The rows are dealt by hash into buckets of about ``bucket_rows`` and each
 bucket's projections are indexed by a kd-tree.  A query takes the tree's
 leaves by growing distance of their boxes, verifies every row of a leaf by its
-true inner product, and stops when the chi-square test holds: a row nearer
+inner product, and stops when the chi-square test holds: a row nearer
 than the k-th found so far would have a projected distance below the next
 box's with probability ``sure``.  The best of all buckets are merged.
 
@@ -23,7 +23,8 @@ Defined results: vectors that are null, zero, of another length than most, or
 hold a null or non-finite component take no part; every query row is a query
 of its own, also when ids repeat, and is excluded as its own candidate only;
 a null id never makes a query and comes last among ties; with fewer candidates
-than k all are returned; an empty table gives an empty result.
+than k all are returned; other columns play no part, whatever their names; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -43,6 +44,7 @@ BUCKET_ROWS = 8192
 QUERY_ROWS = 8192
 LEAF_ROWS = 64
 STEP_LEAVES = 8
+ROUNDING = 1e-15  # bounds the difference of two summation orders, for each component and unit of length
 SEED = 11
 FOUND = "query_row long, query_id long, row long, has_id boolean, vec_id long, score double"
 
@@ -96,6 +98,14 @@ def projection(width: int, dims: int, seed: int = SEED) -> np.ndarray:
     return np.random.Generator(np.random.PCG64(seed)).standard_normal((width + 1, dims))
 
 
+def exact_scores(rows: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Inner products, each summed over the components in the same order wherever its row stands."""
+    total = np.zeros(len(rows))
+    for j in range(rows.shape[1]):
+        total += rows[:, j] * q[j]
+    return total
+
+
 def search_bucket(rows: np.ndarray, queries: np.ndarray, own: np.ndarray, top_norm: float, k: int, dims: int,
                   ratio: float) -> list[tuple[np.ndarray, np.ndarray]]:
     """(places, inner products) of the candidates worth merging, for each query.
@@ -127,8 +137,9 @@ def search_bucket(rows: np.ndarray, queries: np.ndarray, own: np.ndarray, top_no
             best = np.concatenate([best, score])
             best = np.sort(best)[-k:] if len(best) > k else np.sort(best)
         at, score = (np.concatenate(x) if x else np.empty(0) for x in (got_at, got))
-        keep = score >= best[0] if len(best) else np.zeros(0, bool)  # ties with the k-th included
-        out.append((tree.order[at[keep].astype(np.int64)], score[keep]))
+        slack = ROUNDING * len(q) * math.sqrt(max(top_norm * (q @ q), 0.0))
+        at = at[score >= best[0] - slack].astype(np.int64) if len(best) else np.zeros(0, np.int64)
+        out.append((tree.order[at], exact_scores(laid[at], q)))
     return out
 
 
