@@ -4,8 +4,11 @@ Sources get targets by weight (each at most ``max_epochs`` times its size, the
 excess shared again by weight).  The target total is cut into blocks of
 ``block_words`` words.  Blocks are allotted to sources by the highest quotients
 target / (2 k + 1), and each source's quota the same way to its shards, which
-gives integer quotas.  A shard then takes its quota from its documents laid
-out in a seeded order: whole rounds first, then the leading blocks of one more.
+gives integer quotas.  What a source's whole blocks leave over or take too much
+against its target, rounded to a word, is settled in words by its shards, those
+with most room first; so a source of fewer words than a block gets its words as
+well.  A shard then takes its quota from its documents laid out in a seeded
+order: whole rounds first, then the leading words of one more.
 
 Scale: a shard is a hash range of the documents, sized so that it holds about
 ``shard_rows`` rows of even the largest source; the ordered running sum is
@@ -13,8 +16,11 @@ taken within one (source, shard).  Sizes are aggregated before any shuffle;
 the windows over sources and shards see one row each.
 
 Defined results: a null or blank text has size 0 and takes 0; a null source is
-a source of its own, last in order; rows equal in id and size share the order
-by row content and are interchangeable; an empty table gives an empty result.
+a source of its own, last in order; equal quotients go to the larger vote, then
+to the smaller source or shard; rows equal in id and size are interchangeable,
+repeated rows count as rows of their own; a very long text may be taken in part
+or up to three times like any other; other columns play no part, whatever their
+names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -83,6 +89,17 @@ def apportion(rows: DataFrame, group: list[str], votes: str, seats: str, out: st
         .select(*names, (F.col("low") + F.col("more")).cast("long").alias(out))
 
 
+def settled(shards: DataFrame) -> DataFrame:
+    """Shards with ``words`` moved so that a source's sum is its target, rounded to a word; none below 0 or above ``most``."""
+    every = Window.partitionBy("place")
+    rows = shards.withColumn("owed", F.round("target").cast("long") - F.sum("words").over(every))
+    rows = rows.withColumn("room", F.when(F.col("owed") > 0, F.col("most") - F.col("words")).otherwise(F.col("words")))
+    line = every.orderBy(F.desc("room"), "shard").rowsBetween(Window.unboundedPreceding, -1)
+    left = F.abs("owed") - F.coalesce(F.sum("room").over(line), F.lit(0))
+    moved = F.signum("owed").cast("long") * F.least("room", F.greatest(left, F.lit(0)))
+    return rows.withColumn("words", F.col("words") + moved).drop("owed", "room", "most")
+
+
 def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         block_words: int = BLOCK_WORDS, max_epochs: int = MAX_EPOCHS, shard_rows: int = SHARD_ROWS,
         seed: int = SEED, keep_rows: bool = False) -> DataFrame:
@@ -105,8 +122,9 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
     goal = apportion(goal, ["all_sources"], "target", "seats", "quota")
     per = per.join(stored(goal.select("place", "source_size", "target", "quota"), "mix-targets"), "place")
     per = apportion(per.withColumnRenamed("shard", "party"), ["place"], "shard_size", "quota", "blocks")
-    per = per.select("place", F.col("party").alias("shard"), "source_size", "target", "shard_size",
-                     F.least(F.col("blocks") * block_words, F.col("shard_size") * max_epochs).alias("words"))
+    per = settled(per.select("place", F.col("party").alias("shard"), "source_size", "target", "shard_size",
+                             (F.col("shard_size") * max_epochs).alias("most"),
+                             F.least(F.col("blocks") * block_words, F.col("shard_size") * max_epochs).alias("words")))
     line = Window.partitionBy("place", "shard").orderBy("key", "doc_id", "size") \
         .rowsBetween(Window.unboundedPreceding, -1)
     got = base.withColumn("start", F.coalesce(F.sum("size").over(line), F.lit(0))).join(per, ["place", "shard"])

@@ -97,8 +97,13 @@ q as ({seats('target', 'all_seats', 'everything', 's5')}),
 g as (select s4.place, source_size, target, q.quota from s4 join q on q.party = s4.place),
 p2 as (select per.*, g.quota, source_size, target from per join g on per.place = g.place),
 q2 as ({seats('shard_size', 'quota', 'place', 'p2')}),
-w as (select p2.place, p2.party, p2.source_size, p2.target, p2.shard_size,
-  least(q2.quota * {b}, {e} * p2.shard_size) as words from p2 join q2 on p2.place = q2.place and p2.party = q2.party),
+w0 as (select p2.place, p2.party, p2.source_size, p2.target, p2.shard_size,
+  cast(least(q2.quota * {b}, {e} * p2.shard_size) as bigint) as words from p2 join q2 on p2.place = q2.place and p2.party = q2.party),
+w1 as (select *, cast(round(target) as bigint) - sum(words) over (partition by place) as owed from w0),
+w2 as (select *, case when owed > 0 then {e} * shard_size - words else words end as room from w1),
+w3 as (select *, least(room, greatest(abs(owed) - coalesce(sum(room) over (partition by place order by room desc, party
+  rows between unbounded preceding and 1 preceding), 0), 0)) as moved from w2),
+w as (select place, party, source_size, target, shard_size, cast(words + sign(owed) * moved as bigint) as words from w3),
 l as (select h.*, coalesce(sum(size) over (partition by place, shard order by key, doc_id, size
   rows between unbounded preceding and 1 preceding), 0) as start from h)
 select doc_id, size, source_size, target, cast(
