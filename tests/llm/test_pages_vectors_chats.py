@@ -3,12 +3,14 @@
 import hashlib
 from collections import Counter
 from difflib import SequenceMatcher
+from html.parser import HTMLParser
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from warehaus.llm import chat, neighbours, pages, warc
+from warehaus.llm.queries import queries
 
 PAGE = "page_id long, url string, html string"
 SMALL = "/root/testdata/sf0.001"
@@ -122,6 +124,65 @@ def test_names_do_not_put_out_the_article(source, text):
     assert "\n".join(marked or rest) == text
 
 
+@pytest.mark.parametrize("unit", ["<a ", '<a "', "<div>", "</p>", "<!", "<b>", "<a '", "<ul><li>", "<", "<a \"<b '<c>", "<b></i>", "<p><b><object><div>",
+                                  "<a x= y= z>", "<!-- -->", '"><a ', "<p><b>", "&amp;", "<?", "<td><tr>", "<article class='ad'>", "<a" + " " * 50])
+def test_pages_of_any_markup_take_linear_time(unit):
+    """A megabyte of one piece of markup, closed or not; two seconds are many times what it takes."""
+    import time
+    begin = time.process_time()
+    pages.main_blocks(unit * (1_000_000 // len(unit)))
+    assert time.process_time() - begin < 4
+
+
+def test_deep_markup_under_an_open_paragraph_takes_linear_time():
+    import time
+    begin = time.process_time()
+    pages.main_blocks("<p>" + "<b>" * 100_000 + "<object>" + "<div>" * 100_000)
+    pages.main_blocks('<a "' * 100_000 + '">' + '<a "' * 100_000)
+    assert time.process_time() - begin < 8
+
+
+class ArticleText(HTMLParser):
+    """The text of pages with one plain article, by the standard library's parser: an independent rendering."""
+
+    BLOCKS = ("p", "h1", "h2", "h3", "ul", "li", "div", "article", "section")
+
+    def __init__(self, source):
+        super().__init__(convert_charrefs=True)
+        self.inside, self.parts = False, [""]
+        self.feed(source)
+        self.close()
+
+    def handle_starttag(self, tag, attrs):
+        self.inside |= tag == "article"
+        self._mark(tag)
+
+    def handle_endtag(self, tag):
+        self._mark(tag)
+        self.inside &= tag != "article"
+
+    def _mark(self, tag):
+        if tag in self.BLOCKS:
+            self.parts.append("")
+        elif tag == "br":
+            self.parts[-1] += " "
+
+    def handle_data(self, data):
+        if self.inside:
+            self.parts[-1] += data
+
+    def text(self):
+        return "\n".join(x for x in (" ".join(p.split()) for p in self.parts) if x)
+
+
+def test_query_equals_an_independent_rendering(spark):
+    """Every given page holds one article of headings, paragraphs, bold text and line breaks."""
+    sf = "/root/testdata/sf0.01"
+    want = {r.page_id: ArticleText(r.html or "").text() for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
+    got = {r.page_id: (r.text, r.n_chars) for r in queries()["op8_html_text"](spark, sf).collect()}
+    assert got == {i: (t, len(t)) for i, t in want.items()} and sum(map(len, want.values())) > 100_000
+
+
 def test_shared_is_a_longest_common_subsequence():
     rng = np.random.default_rng(2)
     for _ in range(200):
@@ -219,6 +280,25 @@ def test_recall_against_brute_force(spark, bucket_rows, query_rows):
         assert all(s == pytest.approx(float(vectors[where[v]] @ vectors[where[q]]), abs=1e-12) for v, s in found)
 
 
+@pytest.mark.parametrize("bucket_rows", [8192, 300])
+def test_repeated_real_vectors_tie_in_id_order(spark, bucket_rows):
+    """Equal vectors have equal scores wherever they stand, and ties go to the smaller id."""
+    rng = np.random.default_rng(4)
+    ids = rng.permutation(1500)
+    distinct = rng.normal(size=(500, 64))
+    vectors = distinct[np.arange(1500) % 500]
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, vectors)], "vec_id long, embedding array<double>")
+    got: dict = {}
+    for r in neighbours.search(df, F.col("vec_id") % 20 == 0, bucket_rows=bucket_rows).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    at = {int(i): n for n, i in enumerate(ids)}
+    assert len(got) == 75
+    for q, found in got.items():
+        exact = {int(i): float(np.cumsum(vectors[n] * vectors[at[q]])[-1]) for n, i in enumerate(ids) if i != q}  # summed left to right
+        want = sorted(exact, key=lambda i: (-exact[i], i))[:20]
+        assert [v for v, _ in found] == want and [s for _, s in found] == [exact[i] for i in want]
+
+
 def test_clustered_vectors_prune_and_keep_recall():
     rng = np.random.default_rng(0)
     centres = rng.normal(size=(40, 32)) * 4
