@@ -2,8 +2,8 @@
 
 A node of depth d is one distinct sequence of first d turns; its members are
 the conversations that start with it.  A node is named by its smallest member
-and its depth.  A prefix is recognised by the sum of the fingerprints of its
-turns, each of which covers the turn and its place: 120 bits, taken as exact.
+and its depth.  A prefix is recognised by the exclusive or of the fingerprints of
+its turns, each of which covers the turn and its place: 120 bits, taken as exact.
 
 Subtree totals: unary chains whose nodes have the same members are compressed
 in one aggregation (they share their smallest member and their count).  The
@@ -46,6 +46,8 @@ SEGMENT_BITS = 12
 IDS_A_PIECE = 4096
 MOST_SHARED = 4  # h is below this
 SHARED_EVERY = 20
+# What runs along a path: two fingerprint lanes and the words.
+FOLDS = {"x": F.bit_xor, "y": F.bit_xor, "words": F.sum}
 NO_ENDS = hashlib.sha256(b"").hexdigest()
 
 
@@ -85,19 +87,18 @@ def paths(turns: DataFrame) -> DataFrame:
     """``turns`` with the fingerprint lanes of the prefix up to each turn (a, b) and before it (pa, pb), and its words."""
     digest = F.sha2(F.concat_ws(":", F.col("depth").cast("string"), "item"), 256)
     lane = lambda at: F.when(F.col("item").isNull(), F.lit(0)) \
-        .otherwise(F.conv(F.substring(digest, at, 15), 16, 10)).cast("decimal(20,0)")
+        .otherwise(F.conv(F.substring(digest, at, 15), 16, 10).cast("long")).cast("long")
     rows = stored(turns.select("conv_id", "depth", "words", lane(1).alias("x"), lane(17).alias("y"),
                                F.shiftright("depth", SEGMENT_BITS).alias("seg")), "trie-paths")
     line = Window.partitionBy("conv_id", "seg").orderBy("depth").rowsBetween(Window.unboundedPreceding, 0)
-    runs = rows.groupBy("conv_id", "seg").agg(*[F.sum(c).alias(f"s_{c}") for c in ("x", "y", "words")])
+    runs = rows.groupBy("conv_id", "seg").agg(*[fold(c).alias(f"s_{c}") for c, fold in FOLDS.items()])
     before = Window.partitionBy("conv_id").orderBy("seg").rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.select("conv_id", "seg", *[F.sum(f"s_{c}").over(before).alias(f"o_{c}") for c in ("x", "y", "words")])
-    rows = rows.select("*", *[F.sum(c).over(line).alias(f"r_{c}") for c in ("x", "y", "words")]) \
+    runs = runs.select("conv_id", "seg", *[fold(f"s_{c}").over(before).alias(f"o_{c}") for c, fold in FOLDS.items()])
+    rows = rows.select("*", *[fold(c).over(line).alias(f"r_{c}") for c, fold in FOLDS.items()]) \
         .join(runs.where("seg > 0"), ["conv_id", "seg"], "left")
-    total = {c: (F.col(f"r_{c}") + F.coalesce(f"o_{c}", F.lit(0))) for c in ("x", "y", "words")}
-    lanes = {"a": total["x"], "b": total["y"], "pa": total["x"] - F.col("x"), "pb": total["y"] - F.col("y")}
-    return rows.select("conv_id", "depth", "words", total["words"].alias("path_words"),
-                       *[c.cast("decimal(38,0)").alias(name) for name, c in lanes.items()])
+    a, b = (F.col(f"r_{c}").bitwiseXOR(F.coalesce(f"o_{c}", F.lit(0))) for c in ("x", "y"))
+    return rows.select("conv_id", "depth", "words", (F.col("r_words") + F.coalesce("o_words", F.lit(0))).alias("path_words"),
+                       a.alias("a"), b.alias("b"), a.bitwiseXOR(F.col("x")).alias("pa"), b.bitwiseXOR(F.col("y")).alias("pb"))
 
 
 # ---------------------------------------------------------------- contraction
