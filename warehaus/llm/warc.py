@@ -11,14 +11,16 @@ Each task writes the bundles of its own rows straight into the shared folder
 under a name of its own and returns their index rows, which Spark commits as
 Parquet.  Only bundles in that index count: what a lost or repeated task left
 behind is never read.  Equal payloads are found by digest: one narrow row per
-digest and task is shuffled; the join back sends a repeated digest's rows to
-several tasks under adaptive skew handling.
+digest and task is shuffled.  A Bloom filter of repeated digests lets all other
+rows write where they are read; only rows whose payload may repeat are joined
+(a very frequent one is split by adaptive skew handling).
 
 Defined results: a null payload is empty; rows with a null identifier are
 always responses and stand for no other row; of rows equal in identifier and
 payload all that share the smallest identifier are responses; a null url gives
 an empty target; control characters and spaces in a url are percent-encoded;
-an empty table gives an archive without bundles.
+a very long payload fills a frame of its own, whole in one task's memory; other
+columns play no part, whatever their names; an empty table gives an archive without bundles.
 """
 
 from __future__ import annotations
@@ -33,6 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from warehaus.llm.common import small_batches, stored
+from warehaus.llm.exact_dedup import flagged, repeated_cells
 from warehaus.session import scratch_path
 
 # Fixed values of the seekable Zstandard format.
@@ -118,12 +121,35 @@ def read_seek_table(f) -> list[tuple[int, int, int]]:
     return out
 
 
-def open_store(path: str):
-    """(file system, path) of a shared folder, by its scheme."""
+# Hadoop's names of stores that tasks open through Arrow, and Arrow's.
+ARROW_SCHEMES = {"file": "file", "hdfs": "hdfs", "s3a": "s3", "s3n": "s3", "s3": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
+
+
+def store_uri(spark: SparkSession, folder: str) -> str:
+    """A folder as tasks open it, resolved by Hadoop on the driver: a path without scheme is that of the default store.
+
+    Off a plain local master such a path must not end on the machines' own disks.
+    """
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    whole = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
+    master = spark.sparkContext.master
+    alone = master.startswith("local") and not master.startswith("local-cluster")
+    return arrow_uri(whole, named=":" in folder.split("/", 1)[0] or alone)
+
+
+def arrow_uri(whole: str, named: bool = True) -> str:
+    scheme, rest = whole.split(":", 1)
+    if scheme not in ARROW_SCHEMES:
+        raise ValueError(f"tasks cannot open {whole}: no Arrow file system for {scheme}")
+    if scheme == "file" and not named:
+        raise ValueError(f"{whole} is a folder of one machine; name a shared one with its scheme")
+    return f"{ARROW_SCHEMES[scheme]}:{rest}"
+
+
+def open_store(uri: str):
+    """(file system, path) of a resolved folder."""
     from pyarrow import fs
-    if path.startswith("file:/"):
-        path = "/" + path[5:].lstrip("/")
-    return (fs.LocalFileSystem(), path) if path.startswith("/") else fs.FileSystem.from_uri(path)
+    return (fs.LocalFileSystem(), "/" + uri[5:].lstrip("/")) if uri.startswith("file:") else fs.FileSystem.from_uri(uri)
 
 
 class _Bundle:
@@ -174,20 +200,27 @@ def write_archive(df: DataFrame, id_col: str, url_col: str, payload_col: str, fo
     rows = df.select(df[id_col].cast("string").alias("id"), df[id_col].alias("n"), df[url_col].alias("url"),
                      F.encode(F.coalesce(df[payload_col], F.lit("")), "UTF-8").alias("payload"))
     rows = rows.withColumn("digest", F.sha2("payload", 256))
-    first = rows.where((F.length("payload") >= least_revisit) & F.col("n").isNotNull()) \
-        .groupBy("digest").agg(F.min("n").alias("first"), F.count("*").alias("copies")).where("copies > 1")
-    rows = rows.join(first.drop("copies"), "digest", "left")
+    # Only rows whose payload may repeat are joined, and so shuffled; the others write where they are read.
+    digests = stored(rows.where((F.length("payload") >= least_revisit) & F.col("n").isNotNull())
+                     .select("digest", "n", F.xxhash64("digest").alias("h")), "warc-digests")
+    first = digests.groupBy("digest").agg(F.min("n").alias("first"), F.count("*").alias("copies")).where("copies > 1").drop("copies")
+    cells, blocks = repeated_cells(digests, digests.count())
+    names = ["id", "n", "url", "payload", "digest", "first"]
+    seen = flagged(rows.withColumn("h", F.xxhash64("digest")), stored(cells, "warc-cells"), blocks)
+    alone = seen.where(~F.col("maybe")).withColumn("first", F.lit(None).cast(dict(rows.dtypes)["n"]))
+    rows = alone.select(*names).unionByName(seen.where("maybe").join(first, "digest", "left").select(*names))
     rows = rows.select("id", "url", "digest", F.when(F.col("n") > F.col("first"), F.col("first").cast("string")).alias("refers"),
                        F.when(F.col("n") > F.col("first"), F.lit(None)).otherwise(F.col("payload")).alias("payload"),
                        F.length("payload").alias("size"))
     _make_folder(spark, f"{folder}/bundles")
+    uri = store_uri(spark, folder)
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bundle, out = None, []
         for batch in batches:
             for r in batch.itertuples(index=False):
                 if bundle is None:
-                    bundle = _Bundle(f"{folder}/bundles", frame_bytes, level)
+                    bundle = _Bundle(f"{uri}/bundles", frame_bytes, level)
                 rid = f"urn:page:{r.id if r.id is not None else 'null'}"
                 refers = None if r.refers is None else f"urn:page:{r.refers}"
                 out += bundle.add(rid, record(rid, r.url, int(r.size), r.digest, r.payload, refers))
@@ -215,6 +248,7 @@ def read_archive(spark: SparkSession, folder: str, with_payload: bool = True) ->
     """
     bundles = index(spark, folder).groupBy("bundle").agg(F.count("*").alias("records"))
     bundles = bundles.repartition(max(1, bundles.count()))
+    uri = store_uri(spark, folder)
     schema = RECORD_SCHEMA if with_payload else RECORD_SCHEMA.removesuffix(", payload binary")
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -222,7 +256,7 @@ def read_archive(spark: SparkSession, folder: str, with_payload: bool = True) ->
         zstd = zstandard.ZstdDecompressor()
         for batch in batches:
             for name, records in zip(batch["bundle"], batch["records"], strict=True):
-                store, root = open_store(f"{folder}/bundles")
+                store, root = open_store(f"{uri}/bundles")
                 seen = 0
                 with store.open_input_file(f"{root}/{name}") as f:
                     for start, packed, size in read_seek_table(f):
@@ -242,6 +276,7 @@ def read_archive(spark: SparkSession, folder: str, with_payload: bool = True) ->
 def fetch(wanted: DataFrame, folder: str) -> DataFrame:
     """The records whose ``record_id`` is in ``wanted``: reads only the frames that hold them."""
     spark = wanted.sparkSession
+    uri = store_uri(spark, folder)
     places = index(spark, folder).join(wanted.select("record_id").distinct(), "record_id", "left_semi")
     places = places.repartition("bundle", "frame").sortWithinPartitions("bundle", "frame", "offset")
 
@@ -251,7 +286,7 @@ def fetch(wanted: DataFrame, folder: str) -> DataFrame:
         for batch in batches:
             for r in batch.itertuples(index=False):
                 if at != (r.bundle, r.frame):
-                    store, root = open_store(f"{folder}/bundles")
+                    store, root = open_store(f"{uri}/bundles")
                     with store.open_input_file(f"{root}/{r.bundle}") as f:
                         f.seek(r.frame_start)
                         data, at = zstd.decompress(f.read(r.frame_bytes)), (r.bundle, r.frame)
