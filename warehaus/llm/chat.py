@@ -2,10 +2,11 @@
 
 A transcript is a sequence of text pieces of one conversation.  Its lines are
 observed by their speaker marker (a role word in one of the usual notations, an
-unknown name, a quote sign, none) and by line features (length class, question,
-list item).  The hidden states are role x (first line of a turn, further line).
+unknown name, a quote sign, none), by line features (length class, question,
+list item) and by whether they begin a piece.  The hidden states are role x (first line of a turn, further line).
 Start, transition and emission probabilities are counted from labelled lines by
-Spark aggregates; Viterbi finds the best state sequence; a turn is a first line
+Spark aggregates (how often a turn begins at or inside a piece is fixed, as labelled
+pieces are whole turns); Viterbi finds the best state sequence; a turn is a first line
 with the further lines behind it, and is rendered in one canonical form.
 
 Scale: lines are ordered by a range partitioning on (conversation, position,
@@ -18,7 +19,10 @@ That is the exact best path.  What reaches the driver is two rows per partition.
 
 Defined results: a null text is one empty line; a null conversation is one
 conversation of its own; pieces with equal positions follow in input order;
-repeated rows are repeated pieces; roles other than the known ones (or null)
+repeated rows are repeated pieces; of equally good paths that with the earlier
+role (in the order system, user, assistant) is taken; a very long piece is cut
+into its lines; a piece without any marker is a turn of its own, whose role
+follows from its neighbours; roles other than the known ones (or null)
 are not learned from; without labelled lines fixed counts alone are used; an
 empty table gives an empty result; other columns are not looked at.
 """
@@ -50,6 +54,8 @@ LENGTHS = (0, 40, 120, 300, 700)
 SMOOTHING = 0.5
 LINE_SCHEMA = ("conv {kind}, turn long, row long, line int, text string, marker int, length int, question int, item int, "
                "role int")
+# P(begins a piece | first line), P(begins a piece | further line): not learned, see above.
+HEAD = (0.8, 0.002)
 FEATURES = {"marker": len(MARKERS), "length": len(LENGTHS) + 1, "question": 2, "item": 2}
 
 
@@ -96,7 +102,8 @@ class Model:
                      for f, n in FEATURES.items()}
 
     def emission(self, lines: pd.DataFrame) -> np.ndarray:
-        return sum(self.seen[f][:, lines[f].to_numpy()].T for f in FEATURES)
+        head = np.log(np.array([[1 - p, p] for p in HEAD] * len(ROLES)))  # state x begins a piece
+        return sum(self.seen[f][:, lines[f].to_numpy()].T for f in FEATURES) + head[:, (lines["line"].to_numpy() == 0).astype(int)].T
 
     def transfer(self, emission: np.ndarray, first: bool) -> np.ndarray:
         """Best score of going from the state before the lines to each last state.
@@ -186,32 +193,36 @@ def learn(lines: DataFrame) -> Model:
     return Model(start, move, seen)
 
 
+def _same_as_before(values: pd.Series) -> np.ndarray:
+    """For every row but the first, whether it equals the one before (nulls are equal)."""
+    now, before = values.iloc[1:], values.iloc[:-1]
+    return (now.to_numpy() == before.to_numpy()) | (now.isna().to_numpy() & before.isna().to_numpy())
+
+
 def _runs(frame: pd.DataFrame) -> np.ndarray:
-    """Where runs of one conversation begin in sorted lines, and the end."""
-    conv = frame["conv"]
-    new = (conv != conv.shift()) & ~(conv.isna() & conv.shift().isna())
-    new.iloc[:1] = True
-    return np.append(np.flatnonzero(new.to_numpy()), len(frame))
+    """Where runs of one conversation in one range partition begin in sorted lines, and the end."""
+    same = _same_as_before(frame["conv"]) & _same_as_before(frame["part"])
+    return np.concatenate([[0], np.flatnonzero(~same) + 1, [len(frame)]])
 
 
-def _fragments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Whole runs of one conversation in a partition's sorted lines; the last one when the partition ends."""
+def _whole_runs(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+    """(lines, where the runs begin and the end): many whole runs at a time; the last ones when the partition ends."""
     held: list[pd.DataFrame] = []
     for batch in batches:
-        cuts = _runs(batch)
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            run = batch.iloc[a:b]
-            if held and not _same(held[-1], run):
-                yield pd.concat(held, ignore_index=True) if len(held) > 1 else held[0].reset_index(drop=True)
-                held = []
-            held.append(run)
+        if not len(batch):
+            continue
+        edge = pd.concat([held[-1].iloc[-1:], batch.iloc[[0, -1]]]) if held else None
+        if edge is not None and len(_runs(edge)) == 2 and len(_runs(batch)) == 2:
+            held.append(batch)  # all one run, which goes on
+            continue
+        frame = pd.concat([*held, batch], ignore_index=True)
+        cuts = _runs(frame)
+        if len(cuts) > 2:
+            yield frame.iloc[:cuts[-2]], cuts[:-1]
+        held = [frame.iloc[cuts[-2]:].reset_index(drop=True)]
     if held:
-        yield pd.concat(held, ignore_index=True) if len(held) > 1 else held[0].reset_index(drop=True)
-
-
-def _same(a: pd.DataFrame, b: pd.DataFrame) -> bool:
-    x, y = a["conv"].iloc[0], b["conv"].iloc[0]
-    return bool(x == y) or (pd.isna(x) and pd.isna(y))
+        frame = pd.concat(held, ignore_index=True)
+        yield frame, _runs(frame)
 
 
 def parse_lines(lines: DataFrame, model: Model) -> DataFrame:
@@ -232,15 +243,16 @@ def parse_lines(lines: DataFrame, model: Model) -> DataFrame:
     for p, c in broken:
         reach.setdefault(p, []).append(c)
     cut = spark.sparkContext.broadcast(reach)
-    laid = lines.repartition("part").sortWithinPartitions("part", "conv", "turn", "row", "line")
+    laid = lines.repartitionByRange("part").sortWithinPartitions("part", "conv", "turn", "row", "line")
 
     def matrices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for run in _by_part(batches):
-            part, conv = int(run["part"].iloc[0]), _plain(run["conv"].iloc[0])
-            if conv in cut.value.get(part, ()):
-                first = broken_first.value[conv] == part
-                m = sent.value.transfer(sent.value.emission(run), first)
-                yield pd.DataFrame({"part": [part], "conv": run["conv"].iloc[:1].to_numpy(), "m": [m.ravel().tolist()]})
+        for frame, cuts in _whole_runs(batches):
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                part, conv = int(frame["part"].iloc[a]), _plain(frame["conv"].iloc[a])
+                if conv in cut.value.get(part, ()):
+                    first = broken_first.value[conv] == part
+                    m = sent.value.transfer(sent.value.emission(frame.iloc[a:b]), first)
+                    yield pd.DataFrame({"part": [part], "conv": frame["conv"].iloc[a:a + 1].to_numpy(), "m": [m.ravel().tolist()]})
 
     broken_first = spark.sparkContext.broadcast({c: ps[0] for (_, c), ps in broken.items()})
     fixed: dict[tuple, tuple] = {}
@@ -264,20 +276,22 @@ def parse_lines(lines: DataFrame, model: Model) -> DataFrame:
     known = spark.sparkContext.broadcast(fixed)
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for run in _by_part(batches):
-            part, conv = int(run["part"].iloc[0]), _plain(run["conv"].iloc[0])
-            before, end = known.value.get((part, conv), (None, None))
-            state = sent.value.decode(sent.value.emission(run), before, end)
-            begins = state % 2 == 0
-            if before is None:
-                begins[0] = True
-            number = np.cumsum(begins) - 1  # -1: the turn began in an earlier partition
-            first = np.flatnonzero(begins)
-            at = np.where(number >= 0, first[np.maximum(number, 0)] if len(first) else 0, 0)
-            out = run[["conv", "part", "row", "line", "text", "turn"]].copy()
+        for frame, cuts in _whole_runs(batches):
+            emission = sent.value.emission(frame)
+            state, began = np.empty(len(frame), np.int64), np.empty(len(frame), np.int64)
+            parts, convs = frame["part"].to_numpy()[cuts[:-1]], frame["conv"].iloc[cuts[:-1]].tolist()
+            for a, b, part, conv in zip(cuts[:-1], cuts[1:], parts, convs, strict=True):
+                before, end = known.value.get((int(part), _plain(conv)), (None, None))
+                state[a:b] = sent.value.decode(emission[a:b], before, end)
+                begins = state[a:b] % 2 == 0
+                if before is None:
+                    begins[0] = True
+                # The line that began the turn; -1: in an earlier partition.
+                began[a:b] = np.maximum.accumulate(np.where(begins, np.arange(a, b), -1))
+            out = frame[["conv", "part", "row", "line", "text", "turn"]].copy()
             out["role"] = state // 2
-            out["first_row"] = np.where(number >= 0, run["row"].to_numpy()[at], -1)
-            out["first_line"] = np.where(number >= 0, run["line"].to_numpy()[at], -1)
+            out["first_row"] = np.where(began >= 0, frame["row"].to_numpy()[began], -1)
+            out["first_line"] = np.where(began >= 0, frame["line"].to_numpy()[began], -1)
             yield out
 
     states = laid.mapInPandas(decode, f"conv {kind}, part int, row long, line int, text string, turn long, role int, "
@@ -311,13 +325,6 @@ def _plain(x):
     return None if pd.isna(x) else x.item() if isinstance(x, np.generic) else x
 
 
-def _by_part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Runs of one conversation, cut where the range partition changes too."""
-    for run in _fragments(batches):
-        for _, piece in run.groupby("part", sort=True):
-            yield piece.reset_index(drop=True)
-
-
 def parse(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", text_col: str = "text",
           role: Column | None = None) -> DataFrame:
     """Parse transcripts; ``role`` (null where not to be used) labels the rows to learn from."""
@@ -330,13 +337,17 @@ def held_out(conv_id: Column) -> Column:
 
 
 def as_transcript(df: DataFrame, conv_col: str = "conv_id", role_col: str = "role", text_col: str = "text") -> DataFrame:
-    """Turn a table of labelled turns into raw pieces: each conversation gets one of six notations by hash."""
-    style = F.pmod(F.xxhash64(conv_col), F.lit(6))
+    """Turn a table of labelled turns into raw pieces: each conversation gets one of seven notations by hash.
+
+    Five spell the role in some way, one names the speakers (names by hash, which say nothing of the role), and one has no marker at all.
+    """
+    style = F.pmod(F.xxhash64(conv_col), F.lit(7))
     r = F.col(role_col)
     as_user = F.when(r == "user", "Human").when(r == "assistant", "AI").when(r == "system", "System")
     short = F.when(r == "user", "Q").when(r == "assistant", "A").when(r == "system", "System")
-    name = F.when(r == "user", "Kim").when(r == "assistant", "Robin").when(r == "system", "System")
+    letters = F.translate(F.substring(F.md5(F.concat_ws(":", F.col(conv_col).cast("string"), r)), 1, 6), "0123456789", "ghijklmnop")
+    name = F.when(r.isNotNull(), F.initcap(letters))
     head = F.when(style == 0, F.concat(F.initcap(r), F.lit(": "))).when(style == 1, F.concat(as_user, F.lit(": "))) \
         .when(style == 2, F.concat(F.lit("### "), r, F.lit("\n"))).when(style == 3, F.concat(F.lit("<|"), r, F.lit("|>"))) \
-        .when(style == 4, F.concat(short, F.lit(": "))).otherwise(F.concat(name, F.lit(": ")))
+        .when(style == 4, F.concat(short, F.lit(": "))).when(style == 5, F.concat(name, F.lit(": ")))
     return df.withColumn(text_col, F.concat(F.coalesce(head, F.lit("")), F.coalesce(F.col(text_col), F.lit(""))))
