@@ -11,8 +11,10 @@ The filter is broadcast.  Its size is bounded by ``max_blocks`` blocks of 4 KB
 fills up, more unique rows are shuffled, and the result stays the same.
 
 Defined results: a null text counts as empty; a null id is smaller than any
-other; of rows equal in id and text exactly one stays; an empty table gives
-an empty result; other columns, whatever their names, are not looked at.
+other; of rows equal in id and text exactly one stays; a very long text is
+hashed where it is read and only its digest moves (``drop_exact`` moves the rows
+that may be repeated whole); an empty table gives an empty result; other
+columns, whatever their names, are not looked at.
 """
 
 from __future__ import annotations

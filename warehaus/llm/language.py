@@ -24,7 +24,9 @@ every text is parsed.
 Defined results: a text that is null or without a letter is ``und`` with score
 0, and so is every text when nothing is labelled; characters that a sample
 lacks are phrases of their own; null labels are not learned from; repeated
-rows give equal rows; an empty table gives an empty result.
+rows give equal rows; a very long text is parsed whole, word by word; input
+columns named like the results are replaced, others are not looked at; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations

@@ -14,9 +14,11 @@ Everything is one projection over the text's word array, plus one small
 aggregate (at most one row per template word) for the frequencies, which is
 collected: its size is bounded by the templates.
 
-Defined results: null and blank texts have no words and no labels; repeated
-rows give equal rows; other columns are not looked at; an empty table gives
-an empty result.
+Defined results: null and blank texts have no words and no labels; a null id
+is kept; a very long text is one word array in its task's memory; placements of
+several templates at one place all count, and of equal scores the highest is
+the score whichever template has it; repeated rows give equal rows; other
+columns are not looked at; an empty table gives an empty result.
 """
 
 from __future__ import annotations
