@@ -16,8 +16,8 @@ from warehaus.oracle.ingest_sql import stage_load_sql
 from warehaus.oracle.summary_sql import (MONTHLY_CUSTOMER_COLUMNS, MONTHLY_PRODUCT_COLUMNS, batch_stamp, daily_customer_final,
                                          daily_product_final, merge_sql, monthly_customer_delta, monthly_product_delta)
 from warehaus.oracle.upsert_sql import employees_fk_sql, insert_sql, prepared_sql, update_sql
-from warehaus.plans.warehouse import schema_of
-from warehaus.schemas import LOAD_ORDER, TABLES, history_schema
+from warehaus.operators.summary import AUDIT_COLUMNS, DAILY_CUSTOMER_COLUMNS, DAILY_PRODUCT_COLUMNS
+from warehaus.schemas import HISTORIES, LOAD_ORDER, TABLES, history_schema
 
 # (number, date, run timestamp); 2566 days lie between 1998-06-01 and 2005-06-10.
 BATCHES = ((7, "2005-06-10", "2005-06-11 00:00:00"), (8, "2005-06-11", "2005-06-12 00:00:00"))
@@ -103,11 +103,22 @@ def _chain() -> None:
 _chain()
 
 
+SUMMARIES = {"daily_customer_summary": DAILY_CUSTOMER_COLUMNS, "daily_product_summary": DAILY_PRODUCT_COLUMNS,
+             "monthly_customer_summary": MONTHLY_CUSTOMER_COLUMNS, "monthly_product_summary": MONTHLY_PRODUCT_COLUMNS}
+
+
+def _columns(t: str) -> list[tuple[str, bool]]:
+    """(name, whether it is a timestamp) of a table's columns."""
+    if t in SUMMARIES:
+        return [(n, kind == "timestamp_ntz") for n, kind in (*SUMMARIES[t], *AUDIT_COLUMNS)]
+    schema = history_schema(*HISTORIES[t][1:]) if t in HISTORIES else TABLES[t].dw_schema
+    return [(f.name, isinstance(f.dataType, TimestampNTZType)) for f in schema.fields]
+
+
 def _row_text(t: str) -> str:
-    def one(f):
-        text = f"strftime({f.name}, '%Y-%m-%d %H:%M:%S.%f')" if isinstance(f.dataType, TimestampNTZType) else f"cast({f.name} as varchar)"
-        return f"coalesce({text}, '~')"
-    return "concat_ws('|', " + ", ".join(one(f) for f in schema_of(t).fields) + ")"
+    def one(name: str, is_time: bool) -> str:
+        return f"coalesce({f"strftime({name}, '%Y-%m-%d %H:%M:%S.%f')" if is_time else f'cast({name} as varchar)'}, '~')"
+    return "concat_ws('|', " + ", ".join(one(*c) for c in _columns(t)) + ")"
 
 
 def _changes(t: str) -> str:
