@@ -32,8 +32,8 @@ CP1252_HIGH_BYTES = (0x80, 0x82, 0x83, 0x84, 0x85, 0x86, 0x87, 0x88, 0x89, 0x8A,
 CP1252_HIGH_CHARS = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
 
 REPLACEMENT = "�"
-# Empty or only ASCII whitespace (space, tab, newline, vertical tab, form feed, return).
-BLANK_PATTERN = "^[ \\t\\n\\x0B\\f\\r]*$"
+# ASCII whitespace: space, tab, newline, vertical tab, form feed, return.
+WHITE = " \t\n\x0b\f\r"
 # The replacement character as it reads after a UTF-8 -> windows-1252 mix-up.
 REPLACEMENT_MOJIBAKE = "ï¿½"
 
@@ -60,7 +60,7 @@ def clean_text(c: Column) -> Column:
 
 def blank_as_null(c: Column) -> Column:
     """Empty or whitespace-only text -> NULL (EMPTYASNULL + BLANKSASNULL)."""
-    return F.when(c.rlike(BLANK_PATTERN), F.lit(None).cast("string")).otherwise(c)
+    return F.when(F.ltrim(c, F.lit(WHITE)) == "", F.lit(None).cast("string")).otherwise(c)
 
 
 # The well-formed UTF-8 sequences, one ISO-8859-1 character per byte.
