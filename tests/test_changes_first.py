@@ -1,9 +1,27 @@
-"""Steps that grew faster than what a batch changes: files of a partitioned write."""
+"""Steps that grew faster than what a batch changes: order lines, files of a partitioned write."""
+
+import datetime as dt
 
 from pyspark.sql import functions as F
 
+from warehaus.operators import summary as S
 from warehaus.plans.storage import PART, TableStore
 
+from test_plans import physical, plan_text
+from test_summary import B, tables
+
+
+def test_order_lines_are_aggregated_in_the_blocks_only(spark):
+    o, od, p, c, pay = tables(spark)
+    for df in (S.daily_product_summary(o, od, p, B), S.customer_orders_block(o, od, p, B)):
+        text = physical(plan_text(df))
+        assert sum("Aggregate(" in line for line in text.splitlines()) == 4  # two levels, each in two steps
+    # a product on two lines of an order counts once, its values add up
+    twice = od.where("dw_order_id = 1 and dw_product_id = 7")
+    rows = {(r.summary_date, r.dw_customer_id): r for r in S.customer_orders_block(o, od.unionByName(twice), p, B).collect()}
+    r = rows[(dt.date(1998, 6, 1), 100)]
+    assert (r.order_count, r.products_ordered_qty, r.products_items_qty, str(r.order_cost_amount)) == (2, 2, 4, "13.00")
+
 
 def test_files_of_a_write_do_not_multiply_tasks_by_months(spark, tmp_root):
     store = TableStore(spark, tmp_root)
