@@ -70,3 +70,45 @@ def test_stage_load_tests_a_field_for_blanks_once(spark):
     rows = df.collect()
     assert str(rows[0].d) == "2005-06-10" and rows[0].t is None and rows[0].reject_reason == "t"
     assert rows[1].d is None and rows[1].t.hour == 13 and not rows[1].is_rejected
+
+
+def test_joins_hash_a_bounded_side_instead_of_sorting_both(spark):
+    names = (session.LOCAL_MAPS, "spark.sql.autoBroadcastJoinThreshold")
+    before = {n: spark.conf.get(n, None) for n in names}
+    a, b = (spark.range(1000).select((F.col("id") % 997).alias(k), F.col("id").alias(f"v{k}")) for k in "ab")
+    try:
+        spark.conf.unset(session.LOCAL_MAPS)
+        spark.conf.set(names[1], "-1")
+        session.prefer_local_maps(spark)
+        j = a.join(b, F.col("a") == F.col("b"), "left")
+        assert len(j.collect()) == 1006
+        assert "ShuffledHashJoin" in plan(j, "executedPlan").split("Initial Plan")[0]
+        spark.conf.set(session.LOCAL_MAPS, "0")
+        session.prefer_local_maps(spark)  # a setting of the session stays
+        assert spark.conf.get(session.LOCAL_MAPS) == "0"
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v) if v is not None else spark.conf.unset(n)
+
+
+def test_only_lines_of_chosen_orders_meet_the_products(spark):
+    o, od, p, c, pay = tables(spark)
+    for df in (S.customer_orders_block(o, od, p, B), S.daily_product_summary(o, od, p, B)):
+        joins = [line for line in plan(df).splitlines() if "Join " in line]
+        assert ["LeftOuter" in j or "dw_product_id" in j for j in joins] == [True, False]  # the outer join first
+
+
+def test_month_text_equals_the_formatter(spark):
+    from warehaus.plans.storage import UNDATED, month_of
+    rows = spark.sql("select timestamp_ntz'0000-03-01 00:00:00' t union all select timestamp_ntz'0007-01-31 23:59:59' union all "
+                     "select timestamp_ntz'2005-11-01 00:00:00' union all select timestamp_ntz'9999-12-31 23:59:59.999999' "
+                     "union all select timestamp_ntz'12005-01-01 00:00:00' union all select cast(null as timestamp_ntz)").localCheckpoint()
+    got = rows.select(month_of("t").alias("m"), F.coalesce(F.date_format("t", "yyyy-MM"), F.lit(UNDATED)).alias("w")).collect()
+    assert all(r.m == r.w for r in got) and len({r.m for r in got}) == 6
+    assert "lpad" in plan(rows.select(month_of("t").alias("m")))
+
+
+def test_clean_text_passes_ascii_through(spark):
+    from warehaus.functions.text import clean_text
+    df = spark.sql("select 'plain \\n text' c union all select '' union all select cast(null as string) union all select cast(x'61FF62' as string)")
+    assert sorted(r[0] for r in df.select(clean_text(F.col("c")).alias("c")).collect()) == ["", "", "ab", "plain \n text"]
