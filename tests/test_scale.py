@@ -112,3 +112,23 @@ def test_clean_text_passes_ascii_through(spark):
     from warehaus.functions.text import clean_text
     df = spark.sql("select 'plain \\n text' c union all select '' union all select cast(null as string) union all select cast(x'61FF62' as string)")
     assert sorted(r[0] for r in df.select(clean_text(F.col("c")).alias("c")).collect()) == ["", "", "ab", "plain \n text"]
+
+
+def test_customer_day_is_one_aggregate_over_all_blocks(spark):
+    o, od, p, c, pay = tables(spark)
+    assert plan(S.daily_customer_summary(o, od, p, c, pay, B)).count("Aggregate [") == 2  # counted ids, then the day
+    none = pay.withColumn("amount", F.lit(None).cast("decimal(18,2)"))
+    rows = {(str(r.summary_date), r.dw_customer_id): r for r in S.daily_customer_summary(o, od, p, c, none, B).collect()}
+    assert rows["1998-06-02", 100].payment_amount == 0  # other blocks add 0
+    alone = S.daily_customer_summary(o.limit(0), od, p, c.limit(0), none, B).collect()
+    assert [(r.payment_amount, r.payment_apd, r.order_count, r.order_cost_amount) for r in alone] == [(None, 1, 0, 0)]
+
+
+def test_both_daily_summaries_read_the_same_lines(spark):
+    o, od, p, c, pay = tables(spark)
+    o = o.withColumn("status", F.when(F.col("dw_order_id") == 4, " cancelled ").otherwise(F.col("status")))  # for products only
+    lines = S.daily_lines(o, od, p, B).localCheckpoint()
+    for with_lines, without in ((S.daily_customer_summary(o, od, p, c, pay, B, lines), S.daily_customer_summary(o, od, p, c, pay, B)),
+                                (S.daily_product_summary(o, od, p, B, lines), S.daily_product_summary(o, od, p, B))):
+        assert "Join " not in plan(with_lines)
+        assert sorted(with_lines.collect(), key=str) == sorted(without.collect(), key=str) != []
