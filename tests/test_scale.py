@@ -132,3 +132,12 @@ def test_both_daily_summaries_read_the_same_lines(spark):
                                 (S.daily_product_summary(o, od, p, B, lines), S.daily_product_summary(o, od, p, B))):
         assert "Join " not in plan(with_lines)
         assert sorted(with_lines.collect(), key=str) == sorted(without.collect(), key=str) != []
+
+
+def test_monthly_money_is_summed_in_cents(spark):
+    daily = S.daily_customer_summary(*tables(spark), B).localCheckpoint()
+    products = S.daily_product_summary(*tables(spark)[:3], B).localCheckpoint()
+    for delta, ids in ((M.monthly_customer_delta(daily, B), 3), (M.monthly_product_delta(products, B), 2)):
+        text = plan(delta)
+        assert "as decimal(20,0)" in text and len(delta.collect()) <= ids
+    assert sum(r.order_cost_amount for r in M.monthly_customer_delta(daily, B).collect()) == 11
