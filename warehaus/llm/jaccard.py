@@ -43,7 +43,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from warehaus.llm.common import BITS_PER_BLOCK, bit_blocks, components, small_batches, stored
+from warehaus.llm.common import BITS_PER_BLOCK, bit_blocks, components, dealt, small_batches, stored
 from warehaus.llm.exact_dedup import flagged, key_filter
 
 WORDS = 5
@@ -421,6 +421,7 @@ def _classed_rows(df: DataFrame, id_col: str, text_col: str, words: int, percent
     ``comp`` names the component (several components may share a smallest id).
 
     The texts are read three times: for keys, for signatures and for the sets of the candidates.
+    Only filters of bounded size pass through the driver; no join is by a broadcast.
     """
     small_batches(df.sparkSession)
     rows = stored(keyed_rows(df, id_col, text_col, words), "jaccard-rows")
@@ -431,20 +432,20 @@ def _classed_rows(df: DataFrame, id_col: str, text_col: str, words: int, percent
     ties = candidate_edges(signature_rows(df, id_col, text_col, words, percent, speakers))
     candidates = stored(components(ties, "jaccard-classes").select(F.col("node").alias("key"), "comp"), "jaccard-candidates")
     size = candidates.groupBy("comp").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    placed = candidates.join(size, "comp").withColumn("mine", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    placed = candidates.join(dealt(size), "comp").withColumn("mine", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     placed = placed.select("comp", "key", "mine", other).select(
         "comp", F.least("mine", "other").alias("first"), F.greatest("mine", "other").alias("second"),
         F.when(F.col("mine") > F.col("other"), 1).otherwise(0).alias("side"), "key")
     sets = needed_sets(df, id_col, text_col, words, speakers, candidates).groupBy("key").agg(F.first("shingles").alias("shingles"))
-    meet = placed.join(sets, "key").select("comp", "first", "second", "side", "key", "shingles") \
+    meet = placed.join(dealt(sets), "key").select("comp", "first", "second", "side", "key", "shingles") \
         .repartition("comp", "first", "second").sortWithinPartitions("comp", "first", "second", "side", "key")
     edges = stored(meet.mapInArrow(_tree_links(percent), "u long, v long"), "jaccard-edges")
     classes = components(edges, "jaccard-links").withColumnRenamed("node", "key")
-    least = least.join(classes, "key", "left").select("key", "id", F.coalesce("comp", "key").alias("comp"))
-    named = least.groupBy("comp").agg(F.min("id").alias("component_id")).join(least.select("key", "comp"), "comp")
+    least = least.join(dealt(classes), "key", "left").select("key", "id", F.coalesce("comp", "key").alias("comp"))
+    named = least.groupBy("comp").agg(F.min("id").alias("component_id")).join(dealt(least.select("key", "comp")), "comp")
     named = named.select("key", "comp", "component_id")
-    return rows.select("id", "mark", "mark_more", "n_shingles", "key").join(named, "key", "left")
+    return rows.select("id", "mark", "mark_more", "n_shingles", "key").join(dealt(named), "key", "left")
 
 
 def join_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
@@ -466,9 +467,9 @@ def drop_near(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
     rows = stored(_classed_rows(df, id_col, text_col, words, percent, block).where("n_shingles > 0"), "near-rows")
     rows = rows.withColumn("place", F.struct(F.col("id").isNull().alias("last"), "id", "mark", "mark_more"))
     stays = rows.groupBy("comp").agg(F.min("place").alias("least"), F.max("place").alias("most")).where("least <> most")
-    gone = stored(rows.join(stays, "comp").where("place <> least").select("mark", "mark_more").distinct(), "near-gone")
+    gone = stored(rows.join(dealt(stays), "comp").where("place <> least").select("mark", "mark_more").distinct(), "near-gone")
     wide = df.select(F.struct("*").alias("whole"), *row_mark(df, id_col, text_col))
     bits, blocks = key_filter(gone.select(F.col("mark").alias("h")), gone.count())
     seen = flagged(wide.withColumnRenamed("mark", "h"), stored(bits, "near-bits"), blocks).withColumnRenamed("h", "mark")
-    left = seen.where("maybe").join(gone, ["mark", "mark_more"], "left_anti")
+    left = seen.where("maybe").join(dealt(gone), ["mark", "mark_more"], "left_anti")
     return seen.where(~F.col("maybe")).select("whole").unionByName(left.select("whole")).select("whole.*")
