@@ -99,3 +99,13 @@ def test_shuffle_files_go_with_their_query(spark, tmp_root):
         kept.write.parquet(f"{tmp_root}/sums")
         assert shuffle_files(spark) <= before
     assert spark.conf.get(SHUFFLE_CLEANUP, None) == setting and spark.read.parquet(f"{tmp_root}/sums").count() == 7
+
+
+def test_round_trips_land_packed_files(spark):
+    from warehaus.plans.ingest import round_trip
+    before = folders(spark, "landing")
+    rows = spark.range(9).select("id", F.lit("2005-06-10").alias("d"))
+    got = round_trip(spark, rows, spark.createDataFrame([], "id long, d date").schema)
+    assert got.where("d = date'2005-06-10'").count() == 9
+    made = [f for n in folders(spark, "landing") - before for f in files(f"{_scratch_root(spark)}/landing/{n}")]
+    assert made and all(f.endswith(".csv.gz") for f in made)

@@ -12,7 +12,7 @@ from warehaus.schemas import BIG, DATE, LOAD_ORDER, MONEY, STR, TABLES, TS, _sch
 from warehaus.session import scratch_path
 from warehaus.sources.extract import extract
 from warehaus.sources.fixtures import BATCH, Fixtures
-from warehaus.sources.landing import landing_path, write_landing
+from warehaus.sources.landing import PACKED, landing_path, write_landing
 from warehaus.sources.stage_load import load_stage, parse_landing, rejects
 from warehaus.sources.tables import read_table, spread
 
@@ -37,7 +37,7 @@ def round_trip(spark: SparkSession, df: DataFrame, schema: StructType, widths=No
                max_errors: int | None = 100, write_opts=None, read_opts=None) -> DataFrame:
     """Write ``df`` as landing CSV, then load it back tolerantly."""
     land = write_landing(df, landing_path(_scratch(spark, "landing"), "T", BATCH.date_text),
-                         **(write_opts or {}))
+                         **PACKED, **(write_opts or {}))
     return load_stage(spark, land, schema, _scratch(spark, "stage"), widths, max_errors,
                       **(read_opts or {}))
 
